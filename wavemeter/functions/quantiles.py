@@ -42,9 +42,12 @@ def exact_percentile(
     out: str,
     hot_rows: int = 100_000,
     splits: int = 64,
+    count: str | None = None,
 ) -> DataFrame:
     """``(keys, out)`` with the exact interpolated percentile of ``value`` per group.
 
+    ``count`` names an extra column for the number of values.
+
     ``p`` may be a column that is constant within a group. Groups of at most ``hot_rows``
     rows are sorted inside one array. A larger group never meets in one task: its distinct
     values are counted, split by approximate quantiles into ``splits`` ranges, and only the
@@ -56,19 +59,25 @@ def exact_percentile(
         *keys, F.col(value).cast("double").alias("__v"), fraction.cast("double").alias("__p")
     )
     hot = rows.groupBy(*keys).agg(F.count("__v").alias("__n")).where(F.col("__n") > hot_rows)
+    shown = [*keys, *([F.col("__n").alias(count)] if count else []), out]
     if not hot.take(1):
-        return _small_groups(rows, keys, out)
+        return _small_groups(rows, keys, out).select(*shown)
     hot_keys = hot.select(*keys)
     small = join_null_safe(rows, hot_keys, keys, "left_anti")
     large = join_null_safe(rows, hot_keys, keys, "left_semi")
-    return _small_groups(small, keys, out).unionByName(_hot_groups(large, keys, out, splits))
+    both = _small_groups(small, keys, out).unionByName(_hot_groups(large, keys, out, splits))
+    return both.select(*shown)
 
 
 def _small_groups(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
     grouped = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list("__v")).alias("__a"), F.max("__p").alias("__p")
     )
-    return grouped.select(*keys, interpolate_sorted(F.col("__a"), F.col("__p")).alias(out))
+    return grouped.select(
+        *keys,
+        F.size("__a").cast("long").alias("__n"),
+        interpolate_sorted(F.col("__a"), F.col("__p")).alias(out),
+    )
 
 
 def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> DataFrame:
@@ -86,6 +95,7 @@ def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> Data
         (F.floor((F.col("__n") - 1) * F.col("__p"))).alias("__lo"),
         (F.ceil((F.col("__n") - 1) * F.col("__p"))).alias("__hi"),
         ((F.col("__n") - 1) * F.col("__p")).alias("__pos"),
+        "__n",
         F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__range"),
     )
     by_range = ranged.groupBy(*keys, "__range").agg(
@@ -112,9 +122,12 @@ def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> Data
         return F.max(F.when(held, F.col("__v")))
 
     ends = placed.groupBy(*keys).agg(
-        at("__lo").alias("__a"), at("__hi").alias("__b"), F.max("__pos").alias("__pos")
+        at("__lo").alias("__a"),
+        at("__hi").alias("__b"),
+        F.max("__pos").alias("__pos"),
+        F.max("__n").alias("__n"),
     )
     part = F.col("__pos") - F.floor("__pos")
     return ends.select(
-        *keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * part).alias(out)
+        *keys, "__n", (F.col("__a") + (F.col("__b") - F.col("__a")) * part).alias(out)
     )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from wavemeter.plans import rollups
+from wavemeter.plans import busyhours, counting, rollups, thresholds
 from wavemeter.plans.fixtures import Query
 
-_MODULES = (rollups,)
+_MODULES = (rollups, busyhours, counting, thresholds)
 
 
 def all_queries() -> dict[str, Query]:

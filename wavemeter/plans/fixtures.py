@@ -62,7 +62,8 @@ def metric_view(events: DataFrame) -> DataFrame:
         """CASE WHEN user_id % 7 = 0 THEN NULL
                 WHEN user_id % 3 = 0 THEN array(concat('g-', user_id % 5), concat('g-', 5 + user_id % 4))
                 ELSE array(concat('g-', user_id % 5)) END AS networkGroups""",
-        """concat('{"topology":{"mo-0":"eq-', (user_id + 1) % 25, '"}}') AS enrichment""",
+        """concat('{"topology":{"mo-0":"eq-', (user_id + 1) % 25, '"},"location":{"CITY":"city-',
+                user_id % 6, '","STATE":"state-', user_id % 3, '"}}') AS enrichment""",
         "user_id % 2 = 0 AS isRate",
         "CASE WHEN event_id % 8 = 7 THEN 900 ELSE 300 END AS reportInterval",
         "CASE WHEN event_id % 8 = 7 THEN 'PT900S' ELSE 'PT300S' END AS granularityInterval",
@@ -94,7 +95,8 @@ METRICS_SQL = """m AS (
         CASE WHEN user_id % 7 = 0 THEN NULL
              WHEN user_id % 3 = 0 THEN ['g-' || (user_id % 5), 'g-' || (5 + user_id % 4)]
              ELSE ['g-' || (user_id % 5)] END AS networkGroups,
-        '{"topology":{"mo-0":"eq-' || ((user_id + 1) % 25) || '"}}' AS enrichment,
+        '{"topology":{"mo-0":"eq-' || ((user_id + 1) % 25) || '"},"location":{"CITY":"city-'
+            || (user_id % 6) || '","STATE":"state-' || (user_id % 3) || '"}}' AS enrichment,
         user_id % 2 = 0 AS isRate,
         CASE WHEN event_id % 8 = 7 THEN 900 ELSE 300 END AS reportInterval,
         CASE WHEN event_id % 8 = 7 THEN 'PT900S' ELSE 'PT300S' END AS granularityInterval,
@@ -164,3 +166,23 @@ def r6(column: str | Column, name: str | None = None) -> Column:
 
 def joined_groups() -> Column:
     return F.array_join("networkGroups", ",").alias("networkGroups")
+
+
+def derive(spark: SparkSession, sf_dir: str, source: str, columns: dict[str, str]) -> DataFrame:
+    """Select expressions that read the same in Spark SQL and in the oracle."""
+    return table(spark, sf_dir, source).selectExpr(
+        *[f"{expr} AS `{name}`" for name, expr in columns.items()]
+    )
+
+
+def derive_sql(source: str, columns: dict[str, str]) -> str:
+    return "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in columns.items()) + f" FROM {source}"
+
+
+def pick(expr: str, options: list[str]) -> str:
+    """``CASE`` that cycles through text options by a number."""
+    arms = " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(options))
+    return f"CASE ({expr}) % {len(options)} {arms} END"
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
