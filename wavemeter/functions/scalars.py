@@ -89,7 +89,7 @@ def attachment_name(name: Column) -> Column:
 
 def split_addresses(text: Column, sep: str = ";") -> Column:
     """Non-empty, trimmed entries of an address list."""
-    return F.filter(F.transform(F.split(text, sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def offline_hours(last_seen: Column, now: Column) -> Column:
