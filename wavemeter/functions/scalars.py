@@ -109,7 +109,7 @@ def severity(perceived: Column, cleared: Column) -> Column:
 
 def bracket_list(text: Column) -> Column:
     """``[a,b]`` text as an array."""
-    return F.split(F.trim(F.lit("[]"), text), ",")
+    return F.split(F.trim(text, F.lit("[]")), ",")
 
 
 def any_contains(columns: list[Column], tag: str) -> Column:
@@ -134,7 +134,7 @@ def or_marker(value: Column, marker: str) -> Column:
 def quoted_list(sql_text: Column, column: str) -> Column:
     """Items of ``"column" IN ('a', 'b')`` found in a piece of SQL text; empty if absent."""
     body = F.regexp_extract(sql_text, rf'"?{column}"? IN\s*\(([\s\S]*?)\)', 1)
-    items = F.transform(F.split(body, ","), lambda x: F.trim(F.lit("' "), x))
+    items = F.transform(F.split(body, ","), lambda x: F.trim(x, F.lit("' ")))
     return F.filter(items, lambda x: x != "")
 
 

@@ -180,28 +180,28 @@ def counter_incremental(
     return counter_agg(rows, specs)
 
 
-# Timestamp layouts accepted in landed records.
+# Layouts found in landed records besides ISO 8601 and epoch milliseconds.
 TIMESTAMP_LAYOUTS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd",
     "MM/dd/yyyy HH:mm:ss",
+    "dd-MM-yyyy HH:mm:ss",
     "dd/MM/yyyy",
     "yyyy/MM/dd HH:mm:ss",
     "dd-MMM-yyyy",
 )
 
 
-def parse_any_time(text: Column, layouts: Sequence[str] = TIMESTAMP_LAYOUTS) -> Column:
-    """Text timestamp in any accepted layout, or epoch milliseconds; null when unreadable."""
-    forms = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in layouts]
-    # At most 15 digits keep the product inside a long.
-    digits = F.when(text.rlike(r"^\d{1,15}$"), text).try_cast("long")
-    return F.coalesce(F.timestamp_millis(digits).cast("timestamp_ntz"), *forms)
+def parse_any_time(text: Column, layouts: Sequence[str] = ()) -> Column:
+    """Text timestamp as ISO 8601, epoch milliseconds or one of ``layouts``; null when unreadable.
+
+    Times are UTC; a zone suffix does not move them.
+    """
+    # At most 15 digits keep the product inside a long; four digits would be a year.
+    digits = F.when(text.rlike(r"^\d{5,15}$"), text).try_cast("long")
+    iso = F.when(~text.rlike(r"^\d{5,}$"), text).try_cast("timestamp_ntz")
+    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in layouts]
+    return F.coalesce(F.timestamp_millis(digits).cast("timestamp_ntz"), iso, *others)
 
 
-def high_water_mark(df: DataFrame, column: str, layouts: Sequence[str] = TIMESTAMP_LAYOUTS) -> DataFrame:
+def high_water_mark(df: DataFrame, column: str, layouts: Sequence[str] = ()) -> DataFrame:
     """One row with the latest readable time of a text column (dotted paths allowed)."""
     return df.agg(F.max(parse_any_time(F.col(column), layouts)).alias("high_water_mark"))
-

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from wavemeter.plans import busyhours, counting, operations, rollups, thresholds
+from wavemeter.plans import busyhours, counting, landing, operations, rollups, thresholds
 from wavemeter.plans.fixtures import Query
 
-_MODULES = (rollups, busyhours, counting, thresholds, operations)
+_MODULES = (rollups, busyhours, counting, thresholds, operations, landing)
 
 
 def all_queries() -> dict[str, Query]:

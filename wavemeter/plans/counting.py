@@ -104,15 +104,17 @@ def mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
         .when(F.col("event_id") % 4 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .when(F.col("event_id") % 8 == 3, F.date_format("ts", "dd-MM-yyyy HH:mm:ss"))
         .when(F.col("event_id") % 4 == 2, F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
         .otherwise(F.lit("n/a"))
     )
     landed = table(spark, sf_dir, "events").select(F.struct(text.alias("stamp")).alias("source"))
-    return high_water_mark(landed, "source.stamp")
+    return high_water_mark(landed, "source.stamp", ("dd-MM-yyyy HH:mm:ss",))
 
 
-MARK_SQL = """SELECT max(CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts)
-    WHEN 2 THEN date_trunc('millisecond', ts) END) AS high_water_mark FROM events"""
+MARK_SQL = """SELECT max(CASE WHEN event_id % 4 = 0 THEN ts
+    WHEN event_id % 4 = 1 OR event_id % 8 = 3 THEN date_trunc('second', ts)
+    WHEN event_id % 4 = 2 THEN date_trunc('millisecond', ts) END) AS high_water_mark FROM events"""
 
 QUERIES = {
     "counter_agg_1m": Query(template("second_to_1_minute"), template_sql("second_to_1_minute")),
