@@ -14,12 +14,12 @@ _PARTIALS = [f"{f}_{m}" for m in MEASURES for f in ("sum", "max", "min")]
 _COUNTS = ["max_count_dn", "min_count_dn", "max_count_additionalDn", "min_count_additionalDn"]
 
 
-def _show_temporal(df: DataFrame) -> DataFrame:
+def show_temporal(df: DataFrame) -> DataFrame:
     plain = [d for d in DIMENSIONS if d != "networkGroups"]
     return df.select(TIME, *plain, joined_groups(), "count", *[r6(p) for p in _PARTIALS])
 
 
-def _show_group(df: DataFrame) -> DataFrame:
+def show_group(df: DataFrame) -> DataFrame:
     return df.select(
         TIME, *GROUP_DIMENSIONS, "count", *[r6(p) for p in _PARTIALS], r6("avg_value"), *_COUNTS
     )
@@ -30,7 +30,7 @@ def temporal(grains: tuple[str, ...]):
         df = metrics(spark, sf_dir)
         for grain in grains:
             df = rollup_temporal(df, grain, sketch=False)
-        return _show_temporal(df)
+        return show_temporal(df)
 
     return run
 
@@ -40,7 +40,7 @@ def group(grains: tuple[str, ...]):
         df = metrics(spark, sf_dir)
         for grain in grains:
             df = rollup_group(df, grain, sketch=False)
-        return _show_group(df)
+        return show_group(df)
 
     return run
 
