@@ -13,6 +13,9 @@ from wavemeter.operators.joins import join_null_safe
 # A sketch of this size keeps about the precision of a 1024-value reservoir.
 SKETCH_K = 1024
 
+# Largest group that is gathered into one array (800 kB of doubles).
+HOT_ROWS = 100_000
+
 
 def value_sketch(value: str | Column) -> Column:
     return F.kll_sketch_agg_double(value, F.lit(SKETCH_K))
@@ -40,47 +43,51 @@ def exact_percentile(
     value: str,
     p: Column | float,
     out: str,
-    hot_rows: int = 100_000,
+    hot_rows: int = HOT_ROWS,
     splits: int = 64,
-    count: str | None = None,
 ) -> DataFrame:
     """``(keys, out)`` with the exact interpolated percentile of ``value`` per group.
 
-    ``count`` names an extra column for the number of values.
-
     ``p`` may be a column that is constant within a group. Groups of at most ``hot_rows``
-    rows are sorted inside one array. A larger group never meets in one task: its distinct
-    values are counted, split by approximate quantiles into ``splits`` ranges, and only the
-    range that holds the wanted rank is ordered. The answer is exact on both ways.
+    rows are sorted inside one array; larger ones go through :func:`hot_percentile`. A count
+    per group comes first to tell them apart.
     """
     keys = list(keys)
     fraction = p if isinstance(p, Column) else F.lit(float(p))
     rows = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("__v"), fraction.cast("double").alias("__p")
     )
-    hot = rows.groupBy(*keys).agg(F.count("__v").alias("__n")).where(F.col("__n") > hot_rows)
-    shown = [*keys, *([F.col("__n").alias(count)] if count else []), out]
-    if not hot.take(1):
-        return _small_groups(rows, keys, out).select(*shown)
-    hot_keys = hot.select(*keys)
+    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
+    if not any_above(sizes, "__n", hot_rows):
+        return _small_groups(rows, keys, out)
+    hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys)
     small = join_null_safe(rows, hot_keys, keys, "left_anti")
     large = join_null_safe(rows, hot_keys, keys, "left_semi")
-    both = _small_groups(small, keys, out).unionByName(_hot_groups(large, keys, out, splits))
-    return both.select(*shown)
+    return _small_groups(small, keys, out).unionByName(hot_percentile(large, keys, out, splits))
+
+
+def any_above(sizes: DataFrame, count: str, limit: int) -> bool:
+    """Whether the largest count exceeds the limit; one number reaches the driver."""
+    return (sizes.agg(F.max(count)).first()[0] or 0) > limit
 
 
 def _small_groups(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
     grouped = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list("__v")).alias("__a"), F.max("__p").alias("__p")
     )
-    return grouped.select(
-        *keys,
-        F.size("__a").cast("long").alias("__n"),
-        interpolate_sorted(F.col("__a"), F.col("__p")).alias(out),
-    )
+    return grouped.select(*keys, interpolate_sorted(F.col("__a"), F.col("__p")).alias(out))
 
 
-def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> DataFrame:
+def hot_percentile(
+    rows: DataFrame, keys: Sequence[str], out: str, splits: int = 64
+) -> DataFrame:
+    """Exact percentile of groups of any size; rows have ``__v`` and ``__p``.
+
+    No group meets in one task: its distinct values are counted, split by approximate
+    quantiles into ``splits`` ranges, and only the range that holds the wanted rank is
+    ordered. The approximate cuts decide the balance, never the answer.
+    """
+    keys = list(keys)
     weighted = rows.groupBy(*keys, "__v").agg(
         F.count(F.lit(1)).alias("__w"), F.max("__p").alias("__p")
     )
@@ -88,14 +95,14 @@ def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> Data
     bounds = rows.groupBy(*keys).agg(
         F.percentile_approx("__v", cuts, 1000).alias("__cuts"), F.count("__v").alias("__n")
     )
+    pos = (F.col("__n") - 1) * F.col("__p")
     ranged = join_null_safe(weighted, bounds, keys).select(
         *keys,
         "__v",
         "__w",
-        (F.floor((F.col("__n") - 1) * F.col("__p"))).alias("__lo"),
-        (F.ceil((F.col("__n") - 1) * F.col("__p"))).alias("__hi"),
-        ((F.col("__n") - 1) * F.col("__p")).alias("__pos"),
-        "__n",
+        F.floor(pos).alias("__lo"),
+        F.ceil(pos).alias("__hi"),
+        pos.alias("__pos"),
         F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__range"),
     )
     by_range = ranged.groupBy(*keys, "__range").agg(
@@ -122,12 +129,7 @@ def _hot_groups(rows: DataFrame, keys: list[str], out: str, splits: int) -> Data
         return F.max(F.when(held, F.col("__v")))
 
     ends = placed.groupBy(*keys).agg(
-        at("__lo").alias("__a"),
-        at("__hi").alias("__b"),
-        F.max("__pos").alias("__pos"),
-        F.max("__n").alias("__n"),
+        at("__lo").alias("__a"), at("__hi").alias("__b"), F.max("__pos").alias("__pos")
     )
     part = F.col("__pos") - F.floor("__pos")
-    return ends.select(
-        *keys, "__n", (F.col("__a") + (F.col("__b") - F.col("__a")) * part).alias(out)
-    )
+    return ends.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * part).alias(out))

@@ -111,36 +111,49 @@ def iso_weekday(ts: Column) -> Column:
     return F.weekday(ts) + F.lit(1)
 
 
-def in_day_set(ts: Column, names: Column) -> Column:
-    """Whether ``ts`` falls on a day named by the array ``names``.
+def day_numbers(names: Column) -> Column:
+    """ISO day numbers named by an array; null means every day.
 
     ``WEEKEND`` and ``WORKDAYS`` stand for their members; ``ALLDAYS`` and a missing or
-    empty list mean every day.
+    empty list mean every day. Meant for the config side, once per config row.
     """
-    day = iso_weekday(ts)
-    members = F.create_map(*[F.lit(x) for kv in ISO_DAYS.items() for x in kv])
-    hit = (
-        (F.array_contains(names, "WEEKEND") & day.isin(*WEEKEND))
-        | (F.array_contains(names, "WORKDAYS") & day.isin(*WORKDAYS))
-        | F.exists(names, lambda n: F.try_element_at(members, n) == day)
+    members = {
+        **{name: (number,) for name, number in ISO_DAYS.items()},
+        "WEEKEND": WEEKEND,
+        "WORKDAYS": WORKDAYS,
+    }
+    table = F.create_map(
+        *[x for n, days in members.items() for x in (F.lit(n), F.array(*[F.lit(d) for d in days]))]
+    )
+    listed = F.flatten(
+        F.transform(
+            names, lambda n: F.coalesce(F.try_element_at(table, n), F.array().cast("array<int>"))
+        )
     )
     everything = names.isNull() | (F.size(names) == 0) | F.array_contains(names, "ALLDAYS")
-    return F.coalesce(everything | hit, F.lit(False))
+    return F.when(~F.coalesce(everything, F.lit(True)), listed)
 
 
-def hour_options(options: Column) -> Column:
-    """``_HH_MM`` (or ``HH:MM``) options as hour numbers; other words become null."""
-    return F.transform(
-        options,
-        lambda x: F.regexp_extract(x, r"^_?(\d{1,2})", 1).try_cast("int"),
-    )
+def on_days(ts: Column, numbers: Column) -> Column:
+    """Whether ``ts`` falls on one of the day numbers; null numbers accept every day."""
+    return numbers.isNull() | F.array_contains(numbers, iso_weekday(ts))
 
 
-def in_hour_set(ts: Column, options: Column) -> Column:
-    """Whether the hour of ``ts`` is among ``options``; ``ALL`` or nothing means any hour."""
+def hour_numbers(options: Column) -> Column:
+    """Hours of ``_HH_MM``, ``HH:MM`` or ``HH`` options; null means any hour.
+
+    ``ALL`` and a missing or empty list mean any hour.
+    """
+    hours = F.transform(
+        options, lambda x: F.regexp_extract(x, r"^_?(\d{1,2})", 1).try_cast("int")
+    )
     everything = options.isNull() | (F.size(options) == 0) | F.array_contains(options, "ALL")
-    hit = F.array_contains(F.array_compact(hour_options(options)), F.hour(ts))
-    return F.coalesce(everything | hit, F.lit(False))
+    return F.when(~F.coalesce(everything, F.lit(True)), F.array_compact(hours))
+
+
+def in_hours(ts: Column, numbers: Column) -> Column:
+    """Whether the hour of ``ts`` is listed; null numbers accept every hour."""
+    return numbers.isNull() | F.array_contains(numbers, F.hour(ts))
 
 
 def period_tag(period: Column) -> Column:

@@ -14,17 +14,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavemeter.functions.timeutil import (
+    day_numbers,
     day_start,
     days_interval,
     floor_minutes,
-    in_day_set,
-    in_hour_set,
+    hour_numbers,
+    in_hours,
+    on_days,
     period_tag,
     previous_period_bounds,
     ts_lit,
 )
 from wavemeter.model import TIME
-from wavemeter.operators.chosen import aggregate_by_name
+from wavemeter.operators.chosen import aggregate_by_name, named_functions
 
 # Period names and the calendar grain they cover.
 PERIODS = {
@@ -55,11 +57,12 @@ def busy_hour_scope(cfg: DataFrame, run_ts: datetime, period: str) -> DataFrame:
         .withColumn(
             "window_end", F.when(special, own_day + days_interval(1)).otherwise(ts_lit(end))
         )
-        .withColumn("days", named_days)
+        .withColumn("days", day_numbers(named_days))
+        .withColumn("hours", hour_numbers(F.col("effective_hours")))
         .withColumn("granularityInterval", period_tag(F.col("defaultTimeGranularity")))
     )
     if period == "DAILY_BUSY_HOUR":
-        scoped = scoped.where(special | in_day_set(F.col("window_start"), F.col("days")))
+        scoped = scoped.where(special | on_days(F.col("window_start"), F.col("days")))
     return scoped
 
 
@@ -70,7 +73,7 @@ def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
     ).where(F.col("value").isNotNull())
     configs = scope.select(
         "node_id", "node_name", "kpi_id", "kpi_name", "managedObject_id", "managedObject_name",
-        "granularityInterval", "window_start", "window_end", "days", "effective_hours", "level",
+        "granularityInterval", "window_start", "window_end", "days", "hours", "level",
         "aggregationFunction", F.coalesce("percentileValue", F.lit(0.0)).alias("percentileValue"),
     )
     on = (
@@ -82,7 +85,7 @@ def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
     )
     joined = facts.join(configs, on, "inner").drop(configs["granularityInterval"])
     return joined.where(
-        in_day_set(F.col(TIME), F.col("days")) & in_hour_set(F.col(TIME), F.col("effective_hours"))
+        on_days(F.col(TIME), F.col("days")) & in_hours(F.col(TIME), F.col("hours"))
     )
 
 
@@ -98,7 +101,8 @@ def hourly_values(metrics: DataFrame, scope: DataFrame) -> DataFrame:
     rows = _in_scope(metrics, scope).withColumn("hour", floor_minutes(TIME, 60))
     keys = ["node_id", "kpi_id", "managedObject_id", "granularityInterval", "dn", "category", "hour"]
     values = aggregate_by_name(
-        rows, keys, "aggregationFunction", "percentileValue", "value", "metric"
+        rows, keys, "aggregationFunction", "percentileValue", "value", "metric",
+        functions=named_functions(scope, F.col("aggregationFunction")),
     )
     # Ranks must not depend on the order in which doubles were added up.
     return values.withColumn("metric", F.round("metric", 9))

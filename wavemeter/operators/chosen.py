@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavemeter.functions.quantiles import exact_percentile
+from wavemeter.functions.quantiles import HOT_ROWS, any_above, hot_percentile, interpolate_sorted
+from wavemeter.operators.joins import join_null_safe
 
 PLAIN = ("SUM", "AVG", "MAX", "MIN", "COUNT")
+PERCENTILE = "PERCENTILE"
+
+
+def named_functions(cfg: DataFrame, *columns: Column) -> set[str]:
+    """Distinct function names in a config; bounded by the number of functions there are."""
+    names = F.explode(F.array_compact(F.array(*[F.upper(c) for c in columns])))
+    return {r[0] for r in cfg.select(names).distinct().collect()}
 
 
 def aggregate_by_name(
@@ -20,40 +28,83 @@ def aggregate_by_name(
     value: str,
     out: str,
     rate: tuple[str, str, str] | None = None,
+    functions: Collection[str] | None = None,
+    extra: Mapping[str, Column] | None = None,
+    hot_rows: int = HOT_ROWS,
+    any_hot: bool | None = None,
 ) -> DataFrame:
-    """``(keys, records, out)``; every group uses the function named in its rows.
+    """``(keys, records, out, extra)``; every group uses the function named in its rows.
+
+    One combinable aggregation answers all groups. Groups that ask for a percentile also
+    gather their values, unless they hold more than ``hot_rows`` rows: those are answered
+    apart, by ranges of values, so that no task gathers an unbounded group. ``functions``
+    names the functions that occur; without ``PERCENTILE`` among them rows are read once,
+    otherwise a count of the percentile groups comes first, unless the caller says by
+    ``any_hot`` whether there are groups above the limit.
 
-    All plain functions come from one combinable aggregation; only groups that ask for a
-    percentile are ordered. ``function`` and ``percentile`` (0 to 100) are constant within a
-    group. ``rate`` names the flag, numerator and denominator: sums and averages of a rate
-    are the ratio of the summed parts, and the plain result where that has no value.
+    ``function`` and ``percentile`` (0 to 100) are constant within a group. ``rate`` names
+    the flag, numerator and denominator: sums and averages of a rate are the ratio of the
+    summed parts, and the plain result where that has no value.
     """
-    keys = list(keys)
+    keys, extra = list(keys), dict(extra or {})
     named = rows.where(F.col(value).isNotNull()).withColumn("__f", F.upper(F.col(function)))
+    known = named.where(F.col("__f").isin(*PLAIN, PERCENTILE))
     parts = [
         F.sum(value).alias("SUM"),
         F.avg(value).alias("AVG"),
         F.max(value).alias("MAX"),
         F.min(value).alias("MIN"),
         F.count(value).alias("records"),
+        *[c.alias(n) for n, c in extra.items()],
     ]
     if rate:
         flag, num, den = rate
         parts += [F.max(flag).alias("__rate"), F.sum(num).alias("__num"), F.sum(den).alias("__den")]
-    totals = (
-        named.where(F.col("__f") != "PERCENTILE")
-        .groupBy(*keys, "__f")
-        .agg(*parts)
-        .withColumn("COUNT", F.col("records").cast("double"))
+    choice = F.coalesce(
+        *[F.when(F.col("__f") == f, F.col(f)) for f in PLAIN if f != "COUNT"],
+        F.when(F.col("__f") == "COUNT", F.col("records").cast("double")),
     )
-    choice = F.coalesce(*[F.when(F.col("__f") == f, F.col(f)) for f in PLAIN])
     if rate:
         ratio = F.when(
             F.col("__rate") & F.col("__f").isin("SUM", "AVG") & (F.col("__den") != 0),
             F.col("__num") / F.col("__den"),
         )
         choice = F.coalesce(ratio, choice)
-    plain = totals.select(*keys, "records", choice.alias(out))
-    ranked_rows = named.where(F.col("__f") == "PERCENTILE")
-    ranked = exact_percentile(ranked_rows, keys, value, F.col(percentile) / 100.0, out, count="records")
-    return plain.unionByName(ranked)
+    shown = [*keys, "records", choice.alias(out), *extra]
+    if functions is not None and PERCENTILE not in functions:
+        return known.groupBy(*keys, "__f").agg(*parts).select(*shown)
+
+    ranked = known.where(F.col("__f") == PERCENTILE)
+    sizes = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if any_hot is None:
+        any_hot = any_above(sizes, "__n", hot_rows)
+    gathered = F.when(F.col("__f") == PERCENTILE, F.col(value).cast("double"))
+    if any_hot:
+        hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
+        marked = join_null_safe(known, hot_keys, keys, "left")
+        is_hot = F.col("__hot") & (F.col("__f") == PERCENTILE)
+        known = marked.withColumn("__hot", F.coalesce(is_hot, F.lit(False)))
+        gathered = F.when(~F.col("__hot"), gathered)
+    lists = [
+        F.sort_array(F.collect_list(gathered)).alias("__values"),
+        F.max(F.col(percentile) / 100.0).alias("__p"),
+    ]
+    totals = known.groupBy(*keys, "__f").agg(*parts, *lists)
+    by_rank = F.when(
+        (F.col("__f") == PERCENTILE) & (F.size("__values") > 0),
+        interpolate_sorted(F.col("__values"), F.col("__p")),
+    )
+    shown[len(keys) + 1] = F.coalesce(by_rank, choice).alias(out)
+    result = totals.select(*shown)
+    if not any_hot:
+        return result
+    large = known.where("__hot").select(
+        *keys, F.col(value).cast("double").alias("__v"), (F.col(percentile) / 100.0).alias("__p")
+    )
+    exact = hot_percentile(large, keys, "__exact").select(*keys, "__exact")
+    return (
+        join_null_safe(result, exact, keys, "left")
+        .withColumn(out, F.coalesce("__exact", out))
+        .drop("__exact")
+    )
+

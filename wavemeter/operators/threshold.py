@@ -13,18 +13,21 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavemeter.functions.quantiles import HOT_ROWS
 from wavemeter.functions.scalars import clean_dn, spatial_dn
 from wavemeter.functions.timeutil import (
+    day_numbers,
     day_start,
     days_interval,
     epoch_millis,
     floor_minutes,
     hour_start,
-    in_day_set,
-    in_hour_set,
+    hour_numbers,
+    in_hours,
     minutes_interval,
     month_shift,
     month_start,
+    on_days,
     period_tag,
     previous_period_bounds,
     ts_lit,
@@ -32,7 +35,7 @@ from wavemeter.functions.timeutil import (
     zone_offset_minutes,
 )
 from wavemeter.model import TIME
-from wavemeter.operators.chosen import aggregate_by_name
+from wavemeter.operators.chosen import PERCENTILE, aggregate_by_name, named_functions
 from wavemeter.operators.predicates import any_shared, rate_value
 
 ELEMENT = ("dn", "additionalDn", "elementType", "vendorId", "equipmentId", "locationId")
@@ -128,8 +131,8 @@ def prepared(cfg: DataFrame) -> DataFrame:
         "id_spatialManagedObjectAggregation",
         F.coalesce("kpi_isRate", F.lit(False)).alias("kpi_rate"),
         (F.col("kpi_unit") == "Percentage").alias("percentage"),
-        "effectiveHours",
-        options.alias("days"),
+        hour_numbers(F.col("effectiveHours")).alias("hours"),
+        day_numbers(options).alias("days"),
         zone_offset_minutes(F.col("timeZone")).alias("offset_minutes"),
     )
 
@@ -158,7 +161,7 @@ def scoped(facts: DataFrame, cfg: DataFrame) -> DataFrame:
 
 def _in_options(rows: DataFrame) -> DataFrame:
     return rows.where(
-        in_hour_set(F.col(TIME), F.col("effectiveHours")) & in_day_set(F.col(TIME), F.col("days"))
+        in_hours(F.col(TIME), F.col("hours")) & on_days(F.col(TIME), F.col("days"))
     )
 
 
@@ -244,30 +247,60 @@ _RATE = ("kpi_rate", "numerator", "denominator")
 def evaluate_temporal(
     metrics: DataFrame, cfg: DataFrame, grain: str, start: datetime, end: datetime
 ) -> DataFrame:
-    """Temporal value per element, and per slice for thresholds that also aggregate in space."""
+    """Temporal value per element, and per slice for thresholds that also aggregate in space.
+
+    Both kinds go through the same second step: a slice gathers its elements, a purely
+    temporal threshold keeps every element as a group of its own.
+    """
     rows = with_slices(_valued(_in_options(temporal_scope(metrics, cfg, grain, start, end))))
+    in_time = named_functions(cfg, time_function())
+    in_space = named_functions(cfg, spatial_function())
+    hot_time, hot_space = (
+        _hot_slices(rows) if PERCENTILE in in_time | in_space else (False, False)
+    )
     carried = ("level", "spatial_function", "spatial_percentile", "kpi_rate", "percentage")
     keys = [*THRESHOLD, *WINDOW, *carried, "slice", *ELEMENT]
     elements = aggregate_by_name(
-        rows, keys, "time_function", "time_percentile", "value", "metric0", _RATE
-    )
-    own = _percent(elements.where(F.col("spatial_function").isNull()), "metric0").select(
-        *THRESHOLD, *WINDOW, F.lit("temporal").alias("aggregation"), "level", "slice", *ELEMENT,
-        "records", "metric0",
-    )
-    sliced = aggregate_by_name(
-        elements.where(F.col("spatial_function").isNotNull()).drop("records"),
-        [*THRESHOLD, *WINDOW, "level", "slice", "kpi_rate", "percentage"],
+        rows, keys, "time_function", "time_percentile", "value", "metric0", _RATE,
+        functions=in_time, any_hot=None if hot_time else False,
+    ).withColumnRenamed("records", "facts")
+    alone = F.col("spatial_function").isNull()
+    grouped = elements.withColumns(
+        {
+            "alone": alone,
+            "spatial_function": F.coalesce("spatial_function", F.lit("MAX")),
+            **{c: F.when(alone, F.col(c)) for c in ELEMENT},
+        }
+    )
+    result = aggregate_by_name(
+        grouped,
+        [*THRESHOLD, *WINDOW, "alone", "level", "slice", "kpi_rate", "percentage", *ELEMENT],
         "spatial_function", "spatial_percentile", "metric0", "result",
+        functions=in_space, any_hot=hot_space,
+        extra={"facts": F.sum("facts")},
+    )
+    return _percent(result, "result").select(
+        *THRESHOLD, *WINDOW,
+        F.when(F.col("alone"), "temporal").otherwise("temporal-spatial").alias("aggregation"),
+        "level", "slice", *ELEMENT,
+        F.when(F.col("alone"), F.col("facts")).otherwise(F.col("records")).alias("records"),
+        F.col("result").alias("metric0"),
     )
-    return own.unionByName(_spatial_shape(sliced, "temporal-spatial"))
 
 
-def _spatial_shape(sliced: DataFrame, aggregation: str) -> DataFrame:
-    return _percent(sliced.withColumnRenamed("result", "metric0"), "metric0").select(
-        *THRESHOLD, *WINDOW, F.lit(aggregation).alias("aggregation"), "level", "slice",
-        *[F.lit(None).cast("string").alias(c) for c in ELEMENT], "records", "metric0",
+def _hot_slices(rows: DataFrame) -> tuple[bool, bool]:
+    """Whether any slice holds more facts, and more elements, than one array may gather.
+
+    One pass answers for both steps, so the elements need not be built to be counted. A
+    slice without too many facts has no element with too many either. The element count is
+    approximate and therefore compared with a lower limit.
+    """
+    slices = rows.groupBy(*THRESHOLD, *WINDOW, "slice").agg(
+        F.count(F.lit(1)).alias("facts"),
+        F.approx_count_distinct(F.struct(*ELEMENT)).alias("elements"),
     )
+    most = slices.agg(F.max("facts"), F.max("elements")).first()
+    return (most[0] or 0) > HOT_ROWS, (most[1] or 0) > HOT_ROWS * 0.7
 
 
 def evaluate_temporal_run(
@@ -328,6 +361,7 @@ def evaluate_spatial(
     sliced = aggregate_by_name(
         rows.where(F.col("spatial_function").isNotNull()), keys,
         "spatial_function", "spatial_percentile", "value", "result", _RATE,
+        functions=named_functions(cfg, spatial_function()),
     )
     return _percent(sliced.withColumnRenamed("result", "metric0"), "metric0").select(
         *THRESHOLD, "run_start", *WINDOW, F.lit("spatial").alias("aggregation"),

@@ -21,7 +21,7 @@ def show_temporal(df: DataFrame) -> DataFrame:
 
 def show_group(df: DataFrame) -> DataFrame:
     return df.select(
-        TIME, *GROUP_DIMENSIONS, "count", *[r6(p) for p in _PARTIALS], r6("avg_value"), *_COUNTS
+        TIME, *GROUP_DIMENSIONS, "count", *[r6(p) for p in _PARTIALS], F.round("avg_value", 8).alias("avg_value"), *_COUNTS
     )
 
 
@@ -114,7 +114,7 @@ SELECT {_bucket_sql(minutes)} AS __time, {minutes * 60} AS reportInterval, formu
     isRate, 'PT{minutes * 60}S' AS granularityInterval, networkGroup,
     CAST(sum(n) AS BIGINT) AS count,
     {partials},
-    round(sum(sum_value) / sum(n), 6) AS avg_value,
+    round(sum(sum_value) / sum(n), 8) AS avg_value,
     max(count_dn) AS max_count_dn, min(count_dn) AS min_count_dn,
     max(count_ad) AS "max_count_additionalDn", min(count_ad) AS "min_count_additionalDn"
 FROM s GROUP BY ALL"""

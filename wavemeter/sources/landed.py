@@ -302,24 +302,23 @@ def index_documents(
     Every index names its own date field; ``date_paths`` maps an index name, or a prefix
     ending in ``*``, to the dotted path inside the document. The longest match decides.
     """
-    doc = F.try_parse_json(F.col(text))
-    parsed = landed.withColumn("__d", doc).where(F.col("__d").isNotNull())
-    index = F.try_variant_get("__d", "$._index", "string")
+    # A generator parses every document once; the filters below work on its two texts.
+    parsed = landed.select(F.json_tuple(text, "_index", "_source").alias("_index", "_source"))
+    index = F.col("_index")
     dated = F.lit(None).cast("string")
     for pattern in sorted(date_paths, key=len):
         hit = (
             index.startswith(pattern[:-1]) if pattern.endswith("*") else index == F.lit(pattern)
         )
-        path = "$._source" + "".join(f"['{p}']" for p in date_paths[pattern].split("."))
-        dated = F.when(hit, F.try_variant_get("__d", path, "string")).otherwise(dated)
-    rows = parsed.select(
-        index.alias("_index"),
-        parse_any_time(dated).alias("date"),
-        F.to_json(F.try_variant_get("__d", "$._source", "variant")).alias("_source"),
+        path = "$" + "".join(f"['{p}']" for p in date_paths[pattern].split("."))
+        dated = F.when(hit, F.get_json_object("_source", path)).otherwise(dated)
+    rows = parsed.select("_index", "_source", F.explode(F.array(dated)).alias("__text"))
+    return (
+        rows.withColumn("date", parse_any_time(F.col("__text")))
+        .where(F.col("date").between(ts_lit(start), ts_lit(end)) & ~index.isin(*excluded))
+        .select("_index", "date", "_source")
+        .orderBy(F.desc("date"))
     )
-    return rows.where(
-        F.col("date").between(ts_lit(start), ts_lit(end)) & ~F.col("_index").isin(*excluded)
-    ).orderBy(F.desc("date"))
 
 
 def element_rows(landed: DataFrame, parameters: T.DataType, text: str = "value") -> DataFrame:
