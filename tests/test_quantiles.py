@@ -80,6 +80,14 @@ def test_value_list_is_bounded_but_totals_are_not(spark, facts):
     assert out["__time"].hour == 7 and set(WIDE_KEYS) <= set(out.asDict())
 
 
+def test_bounded_list_keeps_repeated_values(facts):
+    values = [0.0] * 12 + [1.0, 2.0, 2.0, 2.0, 3.0]
+    rows = [("2024-01-05 10:00:00", {"value": v}) for v in values]
+    rows += [("2024-01-05 10:00:00", {"value": v, "dn": "other"}) for v in (2.0, 1.0)]
+    got = {r["dn"]: r["value_array"] for r in wide_agg(facts(rows), bound=15, salts=3).collect()}
+    assert got == {"dn-1": sorted(values)[:15], "other": [1.0, 2.0]}
+
+
 def test_all_null_group_keeps_its_row(facts):
     out = wide_agg(facts([("2024-01-05 10:00:00", {"value": None})])).collect()
     assert len(out) == 1 and out[0]["value_count"] == 0 and out[0]["value_array"] == []

@@ -132,6 +132,7 @@ def test_windows_follow_the_zone(facts, config):
         ({"times": -1, "algorithmComparisonValue": 2.0}, [0]),
         ({"times": 2, "intervalDays": 0, "algorithmComparisonValue": 1.0}, [0, 15]),
         ({"times": 3, "intervalDays": 1, "algorithm": "OTHER"}, [0]),
+        ({"times": 3, "algorithmComparisonValue": 2.0, "algorithm": "HISTORICAL_VALUE"}, [0, 30]),
     ],
 )
 def test_look_backs(config, overrides, expected):

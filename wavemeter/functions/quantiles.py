@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavemeter.operators.joins import join_null_safe
+from wavemeter.session import work_folder
 
 # A sketch of this size keeps about the precision of a 1024-value reservoir.
 SKETCH_K = 1024
@@ -92,9 +93,13 @@ def hot_percentile(
         F.count(F.lit(1)).alias("__w"), F.max("__p").alias("__p")
     )
     cuts = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    bounds = rows.groupBy(*keys).agg(
+    # The cuts depend on the order in which partial digests meet. They are written down once,
+    # a row per hot group, so that every use and every retry sees the same ranges.
+    folder = work_folder(rows.sparkSession, "cuts")
+    rows.groupBy(*keys).agg(
         F.percentile_approx("__v", cuts, 1000).alias("__cuts"), F.count("__v").alias("__n")
-    )
+    ).write.parquet(folder)
+    bounds = rows.sparkSession.read.parquet(folder)
     pos = (F.col("__n") - 1) * F.col("__p")
     ranged = join_null_safe(weighted, bounds, keys).select(
         *keys,

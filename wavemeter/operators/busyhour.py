@@ -27,6 +27,7 @@ from wavemeter.functions.timeutil import (
 )
 from wavemeter.model import TIME
 from wavemeter.operators.chosen import aggregate_by_name, named_functions
+from wavemeter.operators.joins import broadcast_if_small
 
 # Period names and the calendar grain they cover.
 PERIODS = {
@@ -83,7 +84,7 @@ def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
         & (facts[TIME] >= configs["window_start"])
         & (facts[TIME] < configs["window_end"])
     )
-    joined = facts.join(configs, on, "inner").drop(configs["granularityInterval"])
+    joined = facts.join(broadcast_if_small(configs), on, "inner").drop(configs["granularityInterval"])
     return joined.where(
         on_days(F.col(TIME), F.col("days")) & in_hours(F.col(TIME), F.col("hours"))
     )
@@ -138,7 +139,7 @@ def busy_hours(
         "node_id", "kpi_id", "node_name", "kpi_name", "managedObject_name", "level",
         "window_start", "window_end",
     )
-    named = ranked.join(labels, ["node_id", "kpi_id"]).where(
+    named = ranked.join(broadcast_if_small(labels), ["node_id", "kpi_id"]).where(
         F.array_contains("level", F.col("BH_level"))
     )
     return named.select(

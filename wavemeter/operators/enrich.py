@@ -1,6 +1,6 @@
 """Lookups, inventory matching, volume counts and wide aggregates.
 
-No join carries a broadcast hint: Spark broadcasts a lookup when its size is below
+Lookup joins carry no broadcast hint: Spark broadcasts a lookup when its size is below
 ``spark.sql.autoBroadcastJoinThreshold``, by statistics or measured at run time, and
 shuffles otherwise.
 """
@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wavemeter.functions.quantiles import any_above
 from wavemeter.functions.scalars import split_addresses
 from wavemeter.functions.timeutil import floor_minutes, ts_lit
 from wavemeter.model import TIME
+from wavemeter.operators.joins import join_null_safe
 from wavemeter.operators.predicates import fill_missing, relabel
 
 
@@ -86,46 +88,75 @@ VALUE_LIST_BOUND = 100_000
 LABEL_SHIFT_HOURS = 3
 
 
-def wide_agg(df: DataFrame, bound: int = VALUE_LIST_BOUND) -> DataFrame:
+def wide_agg(df: DataFrame, bound: int = VALUE_LIST_BOUND, salts: int = 64) -> DataFrame:
     """15-minute sums, extremes and counts per 17 keys, plus the ``bound`` smallest values.
 
-    The value list is limited by rank before it is collected, so no task ever holds more
-    than ``bound`` values of a group; the other aggregates see every row.
+    Usual groups gather their values in the one aggregation that also answers the totals. A
+    group of more than ``bound`` values is limited by rank first, in ``salts`` parts and then
+    over their survivors, so no task holds it whole; its totals still see every row.
     """
     keys = [TIME, *WIDE_KEYS]
     rows = df.select(floor_minutes(TIME, 15).alias(TIME), *WIDE_KEYS, "value")
-    totals = rows.groupBy(*keys).agg(
+    totals = [
         F.sum("value").alias("value_sum"),
         F.max("value").alias("value_max"),
         F.min("value").alias("value_min"),
         F.count("value").alias("value_count"),
+    ]
+    sizes = rows.groupBy(*keys).agg(F.count("value").alias("__n"))
+    if not any_above(sizes, "__n", bound):
+        return _labelled(
+            rows.groupBy(*keys).agg(
+                *totals, F.sort_array(F.collect_list("value")).alias("value_array")
+            )
+        )
+    hot = sizes.where(F.col("__n") > bound).select(*keys, F.lit(True).alias("__hot"))
+    marked = join_null_safe(rows, hot, keys, "left")
+    usual = F.when(F.col("__hot").isNull(), F.col("value"))
+    grouped = marked.groupBy(*keys).agg(
+        *totals, F.sort_array(F.collect_list(usual)).alias("__few")
     )
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy("value"))
-    listed = (
-        rows.where(F.col("value").isNotNull())
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= bound)
-        .select(*keys, "value")
+    # Equal values travel as one weighted row, and the part of a value follows from the value
+    # alone, so a task that runs again sends every row to the same place.
+    large = (
+        marked.where(F.col("__hot") & F.col("value").isNotNull())
+        .groupBy(*keys, "value")
+        .agg(F.count(F.lit(1)).alias("__w"))
+        .withColumn("__salt", F.pmod(F.xxhash64("value"), F.lit(salts)))
     )
-    names = ("value_sum", "value_max", "value_min", "value_count")
-    merged = totals.withColumn("value", F.lit(None).cast("double")).unionByName(
-        listed.select(
-            *keys,
-            "value",
-            *[F.lit(None).cast(totals.schema[n].dataType).alias(n) for n in names],
+
+    def before(*part: str) -> Column:
+        return F.sum("__w").over(W.partitionBy(*keys, *part).orderBy("value")) - F.col("__w")
+
+    smallest = (
+        large.withColumn("__before", before("__salt"))
+        .where(F.col("__before") < bound)
+        .withColumn("__before", before())
+        .where(F.col("__before") < bound)
+        .withColumn("__w", F.least(F.col("__w"), F.lit(bound) - F.col("__before")))
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(F.struct("value", "__w"))).alias("__weighted"))
+        .withColumn(
+            "__many",
+            F.flatten(
+                F.transform(
+                    "__weighted", lambda x: F.array_repeat(x["value"], x["__w"].cast("int"))
+                )
+            ),
         )
+        .drop("__weighted")
     )
-    return (
-        merged.groupBy(*keys)
-        .agg(
-            *[F.max(n).alias(n) for n in names],
-            F.sort_array(F.collect_list("value")).alias("value_array"),
-        )
-        .withColumn(TIME, F.col(TIME) - F.make_dt_interval(F.lit(0), F.lit(LABEL_SHIFT_HOURS)))
-        .withColumn("granularityInterval", F.lit(900))
+    both = join_null_safe(grouped, smallest, keys, "left")
+    return _labelled(
+        both.withColumn("value_array", F.coalesce("__many", "__few")).drop("__many", "__few")
     )
 
 
+def _labelled(df: DataFrame) -> DataFrame:
+    shifted = F.col(TIME) - F.make_dt_interval(F.lit(0), F.lit(LABEL_SHIFT_HOURS))
+    return df.withColumn(TIME, shifted).withColumn("granularityInterval", F.lit(900))
+
+
 def seen_recently(df: DataFrame, now: datetime, minutes: int = 15) -> DataFrame:
     """Distinct elements with a fact at or after ``now - minutes``."""
     since = ts_lit(now - timedelta(minutes=minutes))

@@ -6,6 +6,18 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a config or bucket list may have to be broadcast: some tens of MB at 1 kB per row.
+BROADCAST_ROWS = 20_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the frame really has at most ``limit`` rows.
+
+    The count stops at the limit. Larger frames keep no hint and join by shuffle.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def join_null_safe(

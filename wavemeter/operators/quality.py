@@ -13,6 +13,7 @@ from wavemeter.functions.timeutil import business_day, ts_lit
 from wavemeter.model import TIME
 from wavemeter.operators.joins import join_null_safe
 from wavemeter.operators.predicates import usable_rate_row
+from wavemeter.operators.recompute import known_buckets, rows_of_buckets
 from wavemeter.operators.rollup import GRAINS, bucket, raw_rows, rollup_temporal
 
 
@@ -54,12 +55,13 @@ def repair(
     grain: str,
     rebuild: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The roll-up with every differing bucket recomputed; all buckets in one job."""
-    damaged = reconcile(raw, rolled, grain).select(TIME)
-    rows = raw.withColumn("__bucket", bucket(grain)).join(
-        damaged.withColumnRenamed(TIME, "__bucket"), "__bucket", "left_semi"
-    )
-    fresh = (rebuild or (lambda df: rollup_temporal(df, grain)))(rows.drop("__bucket"))
+    """The roll-up with every differing bucket recomputed; all buckets in one job.
+
+    The differing buckets are found once; raw facts outside their time range are not read.
+    """
+    damaged = known_buckets(reconcile(raw, rolled, grain))
+    rows = rows_of_buckets(raw, damaged, grain)
+    fresh = (rebuild or (lambda df: rollup_temporal(df, grain)))(rows)
     return rolled.join(damaged, TIME, "left_anti").unionByName(fresh)
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavemeter.functions.timeutil import rollup_interval
+from wavemeter.functions.timeutil import rollup_interval, ts_lit
 from wavemeter.model import TIME
+from wavemeter.operators.joins import BROADCAST_ROWS
 from wavemeter.operators.rollup import GRAINS, bucket, rollup_group, rollup_temporal
 
 # Days back a load repeats its bucket, for sources that deliver late.
@@ -50,11 +52,42 @@ def due_after(buckets: DataFrame, grain: str, next_grain: str, ts: str = TIME) -
     )
 
 
+def known_buckets(buckets: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Distinct buckets, evaluated once and held as literal rows when there are few.
+
+    More than ``limit`` buckets stay a plan of their own.
+    """
+    distinct = buckets.select(TIME).distinct()
+    rows = distinct.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return distinct
+    return buckets.sparkSession.createDataFrame([(r[0],) for r in rows], f"{TIME} timestamp_ntz")
+
+
+def rows_of_buckets(facts: DataFrame, buckets: DataFrame, grain: str) -> DataFrame:
+    """Facts whose bucket is listed.
+
+    The first and last bucket become literal bounds, so that the scan skips everything
+    outside; the list itself is broadcast by Spark when its size allows.
+    """
+    span = buckets.agg(F.min(TIME).alias("a"), F.max(TIME).alias("b")).first()
+    if span["a"] is None:
+        return facts.limit(0)
+    # A daily bucket is labelled by its date and starts hours later.
+    end = span["b"] + timedelta(minutes=2 * GRAINS[grain].minutes)
+    near = facts.where((F.col(TIME) >= ts_lit(span["a"])) & (F.col(TIME) < ts_lit(end)))
+    wanted = buckets.select(F.col(TIME).alias("__bucket"))
+    return (
+        near.withColumn("__bucket", bucket(grain))
+        .join(wanted, "__bucket", "left_semi")
+        .drop("__bucket")
+    )
+
+
 def recompute(
     facts: DataFrame, buckets: DataFrame, grain: str, groups: bool = False, sketch: bool = True
 ) -> DataFrame:
     """Roll-up of exactly the given buckets (column ``__time``), all in one job."""
-    wanted = buckets.select(F.col(TIME).alias("__bucket")).distinct()
-    rows = facts.withColumn("__bucket", bucket(grain)).join(wanted, "__bucket", "left_semi")
+    rows = rows_of_buckets(facts, known_buckets(buckets), grain)
     build = rollup_group if groups else rollup_temporal
-    return build(rows.drop("__bucket"), grain, sketch)
+    return build(rows, grain, sketch)

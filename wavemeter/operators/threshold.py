@@ -36,14 +36,17 @@ from wavemeter.functions.timeutil import (
 )
 from wavemeter.model import TIME
 from wavemeter.operators.chosen import PERCENTILE, aggregate_by_name, named_functions
+from wavemeter.operators.joins import broadcast_if_small
 from wavemeter.operators.predicates import any_shared, rate_value
 
 ELEMENT = ("dn", "additionalDn", "elementType", "vendorId", "equipmentId", "locationId")
 THRESHOLD = ("node_id", "kpi_id")
 WINDOW = ("window_start", "window_end")
 
-# Fixed value: the algorithm whose results carry earlier windows along.
+# Algorithms whose results carry earlier windows along; the first takes its
+# number of look-backs from the config, the others have one.
 HISTORY_ALGORITHM = "AVERAGE_HISTORICAL_VALUE"
+SINGLE_LOOK_BACK = ("HISTORICAL_VALUE", "SLOPE_COMPARATION")
 
 # Minutes a 5-minute evaluation lags behind its run time, per generation of
 # the evaluation.
@@ -153,7 +156,7 @@ def scoped(facts: DataFrame, cfg: DataFrame) -> DataFrame:
     )
     unlimited = F.coalesce(F.size("groups") == 0, F.lit(True))
     any_dn = F.coalesce(F.size("only_dn") == 0, F.lit(True))
-    return facts.join(cfg, on, "inner").where(
+    return facts.join(broadcast_if_small(cfg), on, "inner").where(
         (unlimited | any_shared(F.col("networkGroups"), F.col("groups")))
         & (any_dn | F.coalesce(F.array_contains("only_dn", F.col("dn")), F.lit(False)))
     )
@@ -314,10 +317,15 @@ def history_offsets(cfg: DataFrame, minutes: int) -> DataFrame:
     """Config rows, one per look-back, with the minutes it lies before the evaluated window.
 
     The first look-back lies ``int(comparison value)`` buckets back, each further one
-    ``intervalDays`` days earlier, ``times`` look-backs in all. Other algorithms have none.
+    ``intervalDays`` days earlier, ``times`` look-backs in all. The comparison algorithms
+    have one look-back, the others none.
     """
-    uses_history = F.coalesce(F.col("algorithm") == HISTORY_ALGORITHM, F.lit(False))
-    times = F.when(uses_history, F.greatest(F.coalesce("times", F.lit(0)), F.lit(0))).otherwise(0)
+    configured = F.greatest(F.coalesce("times", F.lit(0)), F.lit(0))
+    times = (
+        F.when(F.col("algorithm") == HISTORY_ALGORITHM, configured)
+        .when(F.col("algorithm").isin(*SINGLE_LOOK_BACK), F.lit(1))
+        .otherwise(F.lit(0))
+    )
     step = F.coalesce(F.col("algorithmComparisonValue").cast("int"), F.lit(0)) * F.lit(minutes)
     days = F.coalesce(F.col("intervalDays").cast("int"), F.lit(0))
     offsets = F.transform(
@@ -422,7 +430,7 @@ def alarm_records(
     )
     at = [c for c in (*THRESHOLD, "run_start", "window_start") if c in ranges.columns]
     spans = ranges.select(*at, "min_record", "max_record")
-    joined = result.join(labels, list(THRESHOLD)).join(spans, at)
+    joined = result.join(broadcast_if_small(labels), list(THRESHOLD)).join(spans, at)
     begin = F.floor(epoch_millis(F.col("min_record")) / 1000)
     end = F.when(
         F.col("aggregation") == "spatial", begin + F.lit(report_interval - 1)

@@ -447,20 +447,20 @@ FROM e WHERE d BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'"""
 
 def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = table(spark, sf_dir, "customer").selectExpr(
-        """to_json(named_struct('d', array(named_struct('ID', c_custkey, 'DataMinerID', c_nationkey, 'Name', c_name,
+        """to_json(named_struct('d', array(named_struct('ID', c_custkey, 'AgentID', c_nationkey, 'Name', c_name,
             'Type', CASE WHEN c_custkey % 4 = 0 THEN 'Service' ELSE 'Element' END,
             'State', CASE WHEN c_custkey % 5 = 0 THEN 'Paused' ELSE 'Active' END,
             'Parameters', array(named_struct('pid', 1, 'text', c_mktsegment),
                 named_struct('pid', 2, 'text', concat('n', c_nationkey))))))) AS value"""
     )
     kind = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("text", T.StringType())])
-    return element_feeds(element_rows(landed, kind))[1]
+    return element_feeds(element_rows(landed, kind, "AgentID"), "AgentID")[1]
 
 
-PARAMETERS_SQL = """WITH p AS (SELECT c_custkey AS "ID", CAST(c_nationkey AS BIGINT) AS "DataMinerID",
+PARAMETERS_SQL = """WITH p AS (SELECT c_custkey AS "ID", CAST(c_nationkey AS BIGINT) AS "AgentID",
     unnest([{'pid': 1, 'text': c_mktsegment}, {'pid': 2, 'text': 'n' || c_nationkey}]) AS p
     FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey % 5 <> 0)
-SELECT "ID", "DataMinerID", p.pid AS pid, p.text AS text FROM p"""
+SELECT "ID", "AgentID", p.pid AS pid, p.text AS text FROM p"""
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:

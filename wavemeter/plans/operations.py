@@ -298,12 +298,9 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "concat('eq-', n_nationkey) AS id", "r_name AS network_type", "n_name AS device_type"
     )
     regions = region.selectExpr("concat('et-', r_regionkey) AS id", "r_name AS name")
-    vendors = supplier.where("s_suppkey < 3").selectExpr(
-        "concat('vd-', s_suppkey) AS id", "s_name AS name"
-    )
-    objects = region.where("r_regionkey < 2").selectExpr(
-        "concat('mo-', r_regionkey) AS id", "r_name AS name"
-    )
+    # Shifted by one, so that vendor vd-0 and object mo-0 have no entry.
+    vendors = supplier.selectExpr("concat('vd-', s_suppkey + 1) AS id", "s_name AS name")
+    objects = region.selectExpr("concat('mo-', r_regionkey + 1) AS id", "r_name AS name")
     kinds = table(spark, sf_dir, "events").select(F.col("event_type").alias("id")).distinct()
     return {
         "equipment": dimension_table(equipment, "id", ("network_type", "device_type")),
@@ -331,8 +328,8 @@ SELECT 'SNMP' AS fonte, CAST(date_trunc('hour', __time) AS TIMESTAMP) AS __time,
     o.r_name AS "MO", s_name AS vendor, "additionalDn", "reportInterval", network_type AS tipo_de_rede,
     device_type AS tipo_device, upper(m."metricId") AS name_lookup, count(*) AS count
 FROM m LEFT JOIN region t ON m."equipmentTypeId" = 'et-' || t.r_regionkey
-    LEFT JOIN region o ON m."managedObjectId" = 'mo-' || o.r_regionkey AND o.r_regionkey < 2
-    LEFT JOIN supplier ON m."vendorId" = 'vd-' || s_suppkey AND s_suppkey < 3
+    LEFT JOIN region o ON m."managedObjectId" = 'mo-' || (o.r_regionkey + 1)
+    LEFT JOIN supplier ON m."vendorId" = 'vd-' || (s_suppkey + 1)
     LEFT JOIN eqp ON eqp.id = {_OWN_SQL}
 GROUP BY ALL"""
 

@@ -44,6 +44,7 @@ from wavemeter.sinks.tables import (
     replace_interval,
     write_busy_hours,
 )
+from wavemeter.sources.landed import union_all
 from wavemeter.streaming.jobs import (
     closed,
     drain,
@@ -139,10 +140,7 @@ def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("grain", F.lit("daily"))
         .withColumn("process", F.lit("reprocess"))
     )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_all(parts)
 
 
 def _load_sql(grain: str, minutes: int, lag: int) -> str:
@@ -184,10 +182,10 @@ SELECT o_orderkey, bucket FROM x WHERE bucket < e"""
 
 
 def late_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly runs of one day recompute their bucket and those 1 and 3 days earlier."""
+    """Runs after hours with sign-ups recompute their bucket and those 1 and 3 days earlier."""
     facts = metrics(spark, sf_dir)
     runs = (
-        facts.where(F.to_date(TIME) == F.lit("2024-01-20"))
+        facts.where(F.col("metricId") == "signup")
         .select((F.date_trunc("hour", TIME).cast("timestamp_ntz") + minutes_interval(60)).alias("run_ts"))
         .distinct()
     )
@@ -206,7 +204,7 @@ def late_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LATE_SQL = f"""WITH {VALUED_SQL}, due AS (
     SELECT DISTINCT time_bucket(INTERVAL 1 HOUR, __time) - to_days(d) AS t
-    FROM (SELECT __time, unnest([0, 1, 3]) AS d FROM m WHERE CAST(__time AS DATE) = DATE '2024-01-20')
+    FROM (SELECT __time, unnest([0, 1, 3]) AS d FROM m WHERE metricId = 'signup')
 )
 SELECT time_bucket(INTERVAL 1 HOUR, __time) AS __time, dn, metricId, pollingRuleId, count(*) AS count,
     round(sum(value), 6) AS sum_value, round(max(value), 6) AS max_value
@@ -290,14 +288,14 @@ LOOKUP_SQL = f"""WITH {METRICS_SQL} SELECT DISTINCT "additionalDn" AS key, "mana
 def row_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     return keyed_json(rows, F.col("c_custkey")).unionByName(
-        keyed_json(rows.where("c_nationkey = 3"), "constant")
+        keyed_json(rows, "constant")
     )
 
 
 ROW_MESSAGES_SQL = """WITH v AS (SELECT *, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name ||
     '","c_nationkey":' || c_nationkey || '}' AS value FROM customer)
 SELECT CAST(c_custkey AS VARCHAR) AS key, value FROM v
-UNION ALL SELECT 'constant', value FROM v WHERE c_nationkey = 3"""
+UNION ALL SELECT 'constant', value FROM v"""
 
 # ---------------------------------------------------------------- streams
 

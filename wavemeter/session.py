@@ -16,9 +16,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Sketch and array aggregates leave the hash map after this many groups per task;
-    # 128 (the default) would send every roll-up to the sort-based path.
-    "spark.sql.execution.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Sketch and array aggregates leave the hash map after this many groups per task; 128
+    # (the default) would send every roll-up to the sort-based path. A sketch of the largest
+    # level takes a few kB, so the map stays within some tens of MB.
+    "spark.sql.execution.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 

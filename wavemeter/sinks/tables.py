@@ -54,27 +54,31 @@ def replace_interval(
     rows = df.where((F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end))).withColumn(
         PARTITION, F.concat(F.lit("t"), F.date_format(TIME, label))
     )
-    before = _partitions(spark, path, PARTITION)
-    _write_partitions(rows, path, PARTITION, cluster)
     first, last = start.strftime(f"t{form}"), end.strftime(f"t{form}")
-    inside = [p for p in before if first <= p < last]
-    if inside:
-        fresh = {r[0] for r in rows.select(PARTITION).distinct().collect()}
-        files, _ = _folder(spark, path)
-        for name in inside:
-            if name not in fresh:
-                target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    f"{path}/{PARTITION}={name}"
-                )
-                files.delete(target, True)
-
-
-def _partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    before = _partition_files(spark, path, PARTITION, first, last)
+    _write_partitions(rows, path, PARTITION, cluster)
+    after = _partition_files(spark, path, PARTITION, first, last)
+    for name, old in before.items():
+        # Written partitions have new file names; one that still holds its old files got no row.
+        if after.get(name) == old:
+            files, folder = _folder(spark, f"{path}/{PARTITION}={name}")
+            files.delete(folder, True)
+
+
+def _partition_files(
+    spark: SparkSession, path: str, column: str, first: str, last: str
+) -> dict[str, set[str]]:
+    """File names of the partitions in ``[first, last)``."""
     files, folder = _folder(spark, path)
     if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+        return {}
+    found = {}
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        value = name.removeprefix(f"{column}=")
+        if name != value and first <= value < last:
+            found[value] = {f.getPath().getName() for f in files.listStatus(status.getPath())}
+    return found
 
 
 def write_busy_hours(df: DataFrame, path: str) -> None:

@@ -321,12 +321,17 @@ def index_documents(
     )
 
 
-def element_rows(landed: DataFrame, parameters: T.DataType, text: str = "value") -> DataFrame:
-    """Active elements of landed element lists, each with its parameter list."""
+def element_rows(
+    landed: DataFrame, parameters: T.DataType, owner: str, text: str = "value"
+) -> DataFrame:
+    """Active elements of landed element lists, each with its parameter list.
+
+    ``owner`` is the field that names the agent an element belongs to.
+    """
     element = T.StructType(
         [
             T.StructField("ID", T.LongType()),
-            T.StructField("DataMinerID", T.LongType()),
+            T.StructField(owner, T.LongType()),
             T.StructField("Name", T.StringType()),
             T.StructField("Type", T.StringType()),
             T.StructField("State", T.StringType()),
@@ -338,12 +343,12 @@ def element_rows(landed: DataFrame, parameters: T.DataType, text: str = "value")
     return active_elements(parsed.select(F.explode("doc.d").alias("e")).select("e.*"))
 
 
-def element_feeds(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+def element_feeds(elements: DataFrame, owner: str) -> tuple[DataFrame, DataFrame]:
     """``(element feed, parameter feed)``; the second has one row per parameter."""
     feed = elements.drop("Parameters")
     parameters = elements.select(
-        "ID", "DataMinerID", F.explode("Parameters").alias("p")
-    ).select("ID", "DataMinerID", "p.*")
+        "ID", owner, F.explode("Parameters").alias("p")
+    ).select("ID", owner, "p.*")
     return feed, parameters
 
 
