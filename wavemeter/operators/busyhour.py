@@ -7,6 +7,7 @@ per element, hour and category.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -26,8 +27,8 @@ from wavemeter.functions.timeutil import (
     ts_lit,
 )
 from wavemeter.model import TIME
-from wavemeter.operators.chosen import aggregate_by_name, named_functions
-from wavemeter.operators.joins import broadcast_if_small
+from wavemeter.operators.chosen import aggregate_by_name
+from wavemeter.operators.joins import BROADCAST_ROWS
 
 # Period names and the calendar grain they cover.
 PERIODS = {
@@ -67,7 +68,35 @@ def busy_hour_scope(cfg: DataFrame, run_ts: datetime, period: str) -> DataFrame:
     return scoped
 
 
-def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class ScopeFacts:
+    """What the evaluation has to know about its configs before it builds the plan."""
+
+    broadcastable: bool
+    functions: frozenset[str]
+    start: datetime | None
+    end: datetime | None
+
+
+def scope_facts(scope: DataFrame) -> ScopeFacts:
+    """One small job over the configs."""
+    found = scope.agg(
+        F.count(F.lit(1)),
+        F.collect_set(F.upper("aggregationFunction")),
+        F.min("window_start"),
+        F.max("window_end"),
+    ).first()
+    return ScopeFacts(found[0] <= BROADCAST_ROWS, frozenset(found[1]), found[2], found[3])
+
+
+def _in_scope(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFrame:
+    if known.start is None:
+        metrics = metrics.limit(0)
+    else:
+        # Literal bounds prune the scan; special dates of the configs widen them.
+        metrics = metrics.where(
+            (F.col(TIME) >= ts_lit(known.start)) & (F.col(TIME) < ts_lit(known.end))
+        )
     facts = metrics.select(
         TIME, "metricId", "managedObjectId", "granularityInterval", "dn", "additionalDn",
         "category", "value",
@@ -84,7 +113,8 @@ def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
         & (facts[TIME] >= configs["window_start"])
         & (facts[TIME] < configs["window_end"])
     )
-    joined = facts.join(broadcast_if_small(configs), on, "inner").drop(configs["granularityInterval"])
+    side = F.broadcast(configs) if known.broadcastable else configs
+    joined = facts.join(side, on, "inner").drop(configs["granularityInterval"])
     return joined.where(
         on_days(F.col(TIME), F.col("days")) & in_hours(F.col(TIME), F.col("hours"))
     )
@@ -92,18 +122,18 @@ def _in_scope(metrics: DataFrame, scope: DataFrame) -> DataFrame:
 
 def scope_counts(metrics: DataFrame, scope: DataFrame) -> DataFrame:
     """Rows with a value per config and device."""
-    return _in_scope(metrics, scope).groupBy("node_id", "node_name", "additionalDn").agg(
+    return _in_scope(metrics, scope, scope_facts(scope)).groupBy("node_id", "node_name", "additionalDn").agg(
         F.count("value").alias("conteo")
     )
 
 
-def hourly_values(metrics: DataFrame, scope: DataFrame) -> DataFrame:
+def hourly_values(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFrame:
     """One row per config, element, category and hour with the configured aggregate."""
-    rows = _in_scope(metrics, scope).withColumn("hour", floor_minutes(TIME, 60))
+    rows = _in_scope(metrics, scope, known).withColumn("hour", floor_minutes(TIME, 60))
     keys = ["node_id", "kpi_id", "managedObject_id", "granularityInterval", "dn", "category", "hour"]
     values = aggregate_by_name(
         rows, keys, "aggregationFunction", "percentileValue", "value", "metric",
-        functions=named_functions(scope, F.col("aggregationFunction")),
+        functions=known.functions,
     )
     # Ranks must not depend on the order in which doubles were added up.
     return values.withColumn("metric", F.round("metric", 9))
@@ -122,8 +152,8 @@ def busy_hours(
     no two levels share a day.
     """
     scope = busy_hour_scope(cfg, run_ts, period)
-    start, end = previous_period_bounds(run_ts, PERIODS[period])
-    hours = hourly_values(_prune(metrics, scope, start, end), scope)
+    known = scope_facts(scope)
+    hours = hourly_values(metrics, scope, known)
     order = [F.desc("metric"), F.asc("hour"), F.asc_nulls_first("category")]
     if distinct_days and period != "DAILY_BUSY_HOUR":
         by_day = W.partitionBy("node_id", "kpi_id", "dn", day_start(F.col("hour"))).orderBy(*order)
@@ -139,7 +169,8 @@ def busy_hours(
         "node_id", "kpi_id", "node_name", "kpi_name", "managedObject_name", "level",
         "window_start", "window_end",
     )
-    named = ranked.join(broadcast_if_small(labels), ["node_id", "kpi_id"]).where(
+    side = F.broadcast(labels) if known.broadcastable else labels
+    named = ranked.join(side, ["node_id", "kpi_id"]).where(
         F.array_contains("level", F.col("BH_level"))
     )
     return named.select(
@@ -163,14 +194,3 @@ def busy_hours(
         "BH_level",
     )
 
-
-def _prune(metrics: DataFrame, scope: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Literal time bounds for the scan, widened by the special dates of the configs."""
-    span = (
-        scope.where(F.col("effectiveDay") == "SPECIALDATES")
-        .agg(F.min("window_start").alias("a"), F.max("window_end").alias("b"))
-        .first()
-    )
-    if span["a"] is not None:
-        start, end = min(start, span["a"]), max(end, span["b"])
-    return metrics.where((F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end)))

@@ -14,12 +14,6 @@ PLAIN = ("SUM", "AVG", "MAX", "MIN", "COUNT")
 PERCENTILE = "PERCENTILE"
 
 
-def named_functions(cfg: DataFrame, *columns: Column) -> set[str]:
-    """Distinct function names in a config; bounded by the number of functions there are."""
-    names = F.explode(F.array_compact(F.array(*[F.upper(c) for c in columns])))
-    return {r[0] for r in cfg.select(names).distinct().collect()}
-
-
 def aggregate_by_name(
     rows: DataFrame,
     keys: Sequence[str],

@@ -53,22 +53,24 @@ def due_after(buckets: DataFrame, grain: str, next_grain: str, ts: str = TIME) -
 
 
 def known_buckets(buckets: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Distinct buckets, evaluated once and held as literal rows when there are few.
+    """Distinct buckets, evaluated once and broadcast as literal rows when there are few.
 
-    More than ``limit`` buckets stay a plan of their own.
+    More than ``limit`` buckets stay a plan of their own and join by shuffle.
     """
     distinct = buckets.select(TIME).distinct()
     rows = distinct.limit(limit + 1).collect()
     if len(rows) > limit:
         return distinct
-    return buckets.sparkSession.createDataFrame([(r[0],) for r in rows], f"{TIME} timestamp_ntz")
+    return F.broadcast(
+        buckets.sparkSession.createDataFrame([(r[0],) for r in rows], f"{TIME} timestamp_ntz")
+    )
 
 
 def rows_of_buckets(facts: DataFrame, buckets: DataFrame, grain: str) -> DataFrame:
     """Facts whose bucket is listed.
 
     The first and last bucket become literal bounds, so that the scan skips everything
-    outside; the list itself is broadcast by Spark when its size allows.
+    outside.
     """
     span = buckets.agg(F.min(TIME).alias("a"), F.max(TIME).alias("b")).first()
     if span["a"] is None:

@@ -8,6 +8,7 @@ A range of runs (backfill) costs one pass, not one pass per run.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +36,8 @@ from wavemeter.functions.timeutil import (
     zone_offset_minutes,
 )
 from wavemeter.model import TIME
-from wavemeter.operators.chosen import PERCENTILE, aggregate_by_name, named_functions
-from wavemeter.operators.joins import broadcast_if_small
+from wavemeter.operators.chosen import PERCENTILE, aggregate_by_name
+from wavemeter.operators.joins import BROADCAST_ROWS, broadcast_if_small
 from wavemeter.operators.predicates import any_shared, rate_value
 
 ELEMENT = ("dn", "additionalDn", "elementType", "vendorId", "equipmentId", "locationId")
@@ -111,8 +112,8 @@ def spatial_function() -> Column:
     return F.when(by_slice, F.upper(present("spatialAggregationFunction")))
 
 
-def prepared(cfg: DataFrame) -> DataFrame:
-    """The columns an evaluation needs from the config, one row per threshold and KPI."""
+def prepared(cfg: DataFrame, *extra: str) -> DataFrame:
+    """The columns an evaluation needs from the config, and ``extra`` ones as they are."""
     granularity = F.coalesce(
         present("dataAggregationTimeGranularity"), F.col("kpi_defaultTimeGranularity")
     )
@@ -137,7 +138,36 @@ def prepared(cfg: DataFrame) -> DataFrame:
         hour_numbers(F.col("effectiveHours")).alias("hours"),
         day_numbers(options).alias("days"),
         zone_offset_minutes(F.col("timeZone")).alias("offset_minutes"),
+        *extra,
+    )
+
+
+@dataclass(frozen=True)
+class ConfigFacts:
+    """What an evaluation has to know about its config before it builds the plan."""
+
+    rows: int
+    time_functions: frozenset[str]
+    spatial_functions: frozenset[str]
+    furthest_minutes: int
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.rows <= BROADCAST_ROWS
+
+
+def config_facts(cfg: DataFrame, minutes: int | None = None) -> ConfigFacts:
+    """One small job over the config; ``minutes`` adds the look-backs of a spatial run."""
+    rows = (
+        cfg.withColumn("back_minutes", F.lit(0)) if minutes is None else history_offsets(cfg, minutes)
     )
+    found = rows.agg(
+        F.count(F.lit(1)),
+        F.collect_set(time_function()),
+        F.collect_set(spatial_function()),
+        F.max("back_minutes"),
+    ).first()
+    return ConfigFacts(found[0], frozenset(found[1]), frozenset(found[2]), found[3] or 0)
 
 
 def _facts(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -147,8 +177,11 @@ def _facts(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
     )
 
 
-def scoped(facts: DataFrame, cfg: DataFrame) -> DataFrame:
-    """Facts in the scope of each threshold: KPI, object, granularity, groups and elements."""
+def scoped(facts: DataFrame, cfg: DataFrame, broadcastable: bool) -> DataFrame:
+    """Facts in the scope of each threshold: KPI, object, granularity, groups and elements.
+
+    The config is broadcast when its counted rows allow, and joins by shuffle otherwise.
+    """
     on = (
         (facts["metricId"] == cfg["kpi_id"])
         & (facts["managedObjectId"] == cfg["managedObject_id"])
@@ -156,7 +189,8 @@ def scoped(facts: DataFrame, cfg: DataFrame) -> DataFrame:
     )
     unlimited = F.coalesce(F.size("groups") == 0, F.lit(True))
     any_dn = F.coalesce(F.size("only_dn") == 0, F.lit(True))
-    return facts.join(broadcast_if_small(cfg), on, "inner").where(
+    side = F.broadcast(cfg) if broadcastable else cfg
+    return facts.join(side, on, "inner").where(
         (unlimited | any_shared(F.col("networkGroups"), F.col("groups")))
         & (any_dn | F.coalesce(F.array_contains("only_dn", F.col("dn")), F.lit(False)))
     )
@@ -219,14 +253,18 @@ def period_of(ts: Column, grain: str) -> tuple[Column, Column]:
 
 
 def temporal_scope(
-    metrics: DataFrame, cfg: DataFrame, grain: str, start: datetime, end: datetime
+    metrics: DataFrame, cfg: DataFrame, grain: str, start: datetime, end: datetime,
+    known: ConfigFacts | None = None,
 ) -> DataFrame:
     """Scoped facts with their window; windows whose local start lies in ``[start, end)``.
 
     Windows other than hours follow the time zone of the threshold.
     """
     slack = timedelta(0) if grain == "HOUR" else timedelta(hours=14)
-    rows = scoped(_facts(metrics, start - slack, end + slack), prepared(cfg))
+    known = known or config_facts(cfg)
+    rows = scoped(
+        _facts(metrics, start - slack, end + slack), prepared(cfg), known.broadcastable
+    )
     offset = F.lit(0) if grain == "HOUR" else F.col("offset_minutes")
     shift = minutes_interval(offset)
     window_start, window_end = period_of(F.col(TIME) + shift, grain)
@@ -255,9 +293,10 @@ def evaluate_temporal(
     Both kinds go through the same second step: a slice gathers its elements, a purely
     temporal threshold keeps every element as a group of its own.
     """
-    rows = with_slices(_valued(_in_options(temporal_scope(metrics, cfg, grain, start, end))))
-    in_time = named_functions(cfg, time_function())
-    in_space = named_functions(cfg, spatial_function())
+    known = config_facts(cfg)
+    in_time, in_space = known.time_functions, known.spatial_functions
+    scope = temporal_scope(metrics, cfg, grain, start, end, known)
+    rows = with_slices(_valued(_in_options(scope)))
     hot_time, hot_space = (
         _hot_slices(rows) if PERCENTILE in in_time | in_space else (False, False)
     )
@@ -336,7 +375,8 @@ def history_offsets(cfg: DataFrame, minutes: int) -> DataFrame:
 
 
 def spatial_scope(
-    metrics: DataFrame, cfg: DataFrame, minutes: int, start: datetime, end: datetime
+    metrics: DataFrame, cfg: DataFrame, minutes: int, start: datetime, end: datetime,
+    known: ConfigFacts | None = None,
 ) -> DataFrame:
     """Scoped facts per evaluated bucket in ``[start, end)`` and look-back.
 
@@ -344,13 +384,12 @@ def spatial_scope(
     run, ``window_start`` the bucket itself. The number of copies of a fact is bounded by the
     look-backs of its thresholds.
     """
-    windows = history_offsets(cfg, minutes)
-    ready = prepared(cfg).join(windows.select(*THRESHOLD, "back_minutes"), list(THRESHOLD))
-    furthest = windows.agg(F.max("back_minutes")).first()[0] or 0
-    facts = _facts(metrics, start - timedelta(minutes=furthest), end)
+    known = known or config_facts(cfg, minutes)
+    ready = prepared(history_offsets(cfg, minutes), "back_minutes")
+    facts = _facts(metrics, start - timedelta(minutes=known.furthest_minutes), end)
     bucket = floor_minutes(TIME, minutes)
     return (
-        scoped(facts, ready)
+        scoped(facts, ready, known.broadcastable)
         .withColumn("window_start", bucket)
         .withColumn("window_end", F.col("window_start") + minutes_interval(minutes))
         .withColumn("run_start", F.col("window_start") + minutes_interval(F.col("back_minutes")))
@@ -362,14 +401,17 @@ def evaluate_spatial(
     metrics: DataFrame, cfg: DataFrame, minutes: int, start: datetime, end: datetime
 ) -> DataFrame:
     """Spatial value per slice for every N-minute bucket in ``[start, end)`` and look-back."""
-    rows = with_slices(_valued(_in_options(spatial_scope(metrics, cfg, minutes, start, end))))
+    known = config_facts(cfg, minutes)
+    rows = with_slices(
+        _valued(_in_options(spatial_scope(metrics, cfg, minutes, start, end, known)))
+    )
     keys = [
         *THRESHOLD, "run_start", *WINDOW, "level", "slice", "kpi_rate", "percentage"
     ]
     sliced = aggregate_by_name(
         rows.where(F.col("spatial_function").isNotNull()), keys,
         "spatial_function", "spatial_percentile", "value", "result", _RATE,
-        functions=named_functions(cfg, spatial_function()),
+        functions=known.spatial_functions,
     )
     return _percent(sliced.withColumnRenamed("result", "metric0"), "metric0").select(
         *THRESHOLD, "run_start", *WINDOW, F.lit("spatial").alias("aggregation"),
