@@ -11,7 +11,7 @@ from wavemeter.operators.threshold import (
     evaluate_spatial,
     evaluate_temporal,
     history_bundle,
-    history_offsets,
+    look_backs,
     record_messages,
     record_range,
     spatial_scope,
@@ -137,7 +137,7 @@ def test_windows_follow_the_zone(facts, config):
 )
 def test_look_backs(config, overrides, expected):
     cfg = config({"algorithm": HISTORY_ALGORITHM, **overrides})
-    assert sorted(r["back_minutes"] for r in history_offsets(cfg, 15).collect()) == expected
+    assert cfg.select(look_backs(15)).first()[0] == expected
 
 
 def test_history_bundle(facts, config):
@@ -154,9 +154,7 @@ def test_history_bundle(facts, config):
     )
     bounds = (datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 10, 5))
     result = evaluate_spatial(df, cfg, 5, *bounds)
-    spans = record_range(
-        spatial_scope(df, cfg, 5, *bounds), ("node_id", "kpi_id", "run_start", "window_start")
-    )
+    spans = record_range(spatial_scope(df, cfg, 5, *bounds))
     records = alarm_records(result, spans, cfg, 300, "PT300S", bounds[1])
     assert set(RECORD_FIELDS) <= set(records.columns)
     bundle = history_bundle(records).collect()

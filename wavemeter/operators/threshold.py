@@ -158,14 +158,12 @@ class ConfigFacts:
 
 def config_facts(cfg: DataFrame, minutes: int | None = None) -> ConfigFacts:
     """One small job over the config; ``minutes`` adds the look-backs of a spatial run."""
-    rows = (
-        cfg.withColumn("back_minutes", F.lit(0)) if minutes is None else history_offsets(cfg, minutes)
-    )
-    found = rows.agg(
+    furthest = F.lit(0) if minutes is None else F.array_max(look_backs(minutes))
+    found = cfg.agg(
         F.count(F.lit(1)),
         F.collect_set(time_function()),
         F.collect_set(spatial_function()),
-        F.max("back_minutes"),
+        F.max(furthest),
     ).first()
     return ConfigFacts(found[0], frozenset(found[1]), frozenset(found[2]), found[3] or 0)
 
@@ -352,8 +350,8 @@ def evaluate_temporal_run(
     return evaluate_temporal(metrics, cfg, grain, *previous_period_bounds(run_ts, grain))
 
 
-def history_offsets(cfg: DataFrame, minutes: int) -> DataFrame:
-    """Config rows, one per look-back, with the minutes it lies before the evaluated window.
+def look_backs(minutes: int) -> Column:
+    """Minutes each look-back of a config row lies before the evaluated window, 0 included.
 
     The first look-back lies ``int(comparison value)`` buckets back, each further one
     ``intervalDays`` days earlier, ``times`` look-backs in all. The comparison algorithms
@@ -367,33 +365,48 @@ def history_offsets(cfg: DataFrame, minutes: int) -> DataFrame:
     )
     step = F.coalesce(F.col("algorithmComparisonValue").cast("int"), F.lit(0)) * F.lit(minutes)
     days = F.coalesce(F.col("intervalDays").cast("int"), F.lit(0))
-    offsets = F.transform(
-        F.sequence(F.lit(0), times.cast("int")),
-        lambda i: F.when(i == 0, F.lit(0)).otherwise(step + (i - 1) * days * F.lit(1440)),
+    return F.array_distinct(
+        F.transform(
+            F.sequence(F.lit(0), times.cast("int")),
+            lambda i: F.when(i == 0, F.lit(0)).otherwise(step + (i - 1) * days * F.lit(1440)),
+        )
     )
-    return cfg.withColumn("back_minutes", F.explode(F.array_distinct(offsets)))
 
 
 def spatial_scope(
     metrics: DataFrame, cfg: DataFrame, minutes: int, start: datetime, end: datetime,
     known: ConfigFacts | None = None,
 ) -> DataFrame:
-    """Scoped facts per evaluated bucket in ``[start, end)`` and look-back.
-
-    A fact in bucket ``b`` serves the run of bucket ``b + offset``; ``run_start`` names the
-    run, ``window_start`` the bucket itself. The number of copies of a fact is bounded by the
-    look-backs of its thresholds.
-    """
+    """Scoped facts with their bucket, for runs in ``[start, end)`` and what they look back at."""
     known = known or config_facts(cfg, minutes)
-    ready = prepared(history_offsets(cfg, minutes), "back_minutes")
+    ready = prepared(
+        cfg.withColumn("furthest", F.array_max(look_backs(minutes))), "furthest"
+    )
     facts = _facts(metrics, start - timedelta(minutes=known.furthest_minutes), end)
-    bucket = floor_minutes(TIME, minutes)
     return (
         scoped(facts, ready, known.broadcastable)
-        .withColumn("window_start", bucket)
+        .withColumn("window_start", floor_minutes(TIME, minutes))
         .withColumn("window_end", F.col("window_start") + minutes_interval(minutes))
-        .withColumn("run_start", F.col("window_start") + minutes_interval(F.col("back_minutes")))
+        .where(F.col("window_start") + minutes_interval(F.col("furthest")) >= ts_lit(start))
+    )
+
+
+def served_runs(
+    windows: DataFrame, cfg: DataFrame, minutes: int, start: datetime, end: datetime,
+    known: ConfigFacts,
+) -> DataFrame:
+    """One row per window and run in ``[start, end)`` that uses it, named by ``run_start``.
+
+    A window serves the run of its own bucket and those that look back at it. Only finished
+    results are repeated, so the facts behind a window are aggregated once.
+    """
+    backs = cfg.select(*THRESHOLD, F.explode(look_backs(minutes)).alias("__back"))
+    side = F.broadcast(backs) if known.broadcastable else backs
+    return (
+        windows.join(side, list(THRESHOLD))
+        .withColumn("run_start", F.col("window_start") + minutes_interval(F.col("__back")))
         .where((F.col("run_start") >= ts_lit(start)) & (F.col("run_start") < ts_lit(end)))
+        .drop("__back")
     )
 
 
@@ -405,18 +418,17 @@ def evaluate_spatial(
     rows = with_slices(
         _valued(_in_options(spatial_scope(metrics, cfg, minutes, start, end, known)))
     )
-    keys = [
-        *THRESHOLD, "run_start", *WINDOW, "level", "slice", "kpi_rate", "percentage"
-    ]
+    keys = [*THRESHOLD, *WINDOW, "level", "slice", "kpi_rate", "percentage"]
     sliced = aggregate_by_name(
         rows.where(F.col("spatial_function").isNotNull()), keys,
         "spatial_function", "spatial_percentile", "value", "result", _RATE,
         functions=known.spatial_functions,
     )
-    return _percent(sliced.withColumnRenamed("result", "metric0"), "metric0").select(
+    results = served_runs(_percent(sliced, "result"), cfg, minutes, start, end, known)
+    return results.select(
         *THRESHOLD, "run_start", *WINDOW, F.lit("spatial").alias("aggregation"),
         "level", "slice", *[F.lit(None).cast("string").alias(c) for c in ELEMENT], "records",
-        "metric0",
+        F.col("result").alias("metric0"),
     )
 
 

@@ -303,7 +303,8 @@ STREAM_KEYS = ("metricId", "additionalDn", "isRate")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_files(spark, sf_dir, EVENTS, options={"pathGlobFilter": "events.parquet"})
+    # A pattern serves a table kept as one file as well as one kept as a folder of files.
+    return read_files(spark, f"{sf_dir}/events.parquet*", EVENTS)
 
 
 def streamed(levels: tuple[str, ...], delay: str):

@@ -278,10 +278,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = config(spark, sf_dir, "NONE", "BY_GROUP", "PT5M")
     facts = metrics(spark, sf_dir)
     result = evaluate_spatial(facts, cfg, 5, HISTORY_FROM, LAST)
-    spans = record_range(
-        spatial_scope(facts, cfg, 5, HISTORY_FROM, LAST),
-        ("node_id", "kpi_id", "run_start", "window_start"),
-    )
+    spans = record_range(spatial_scope(facts, cfg, 5, HISTORY_FROM, LAST))
     return alarm_records(result, spans, cfg, 300, "PT300S", HISTORY_FROM)
 
 
