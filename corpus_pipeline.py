@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wavemeter.llm.bpe import digests
 from wavemeter.llm.expressions import stored, text_of, word_count
+from wavemeter.llm.jaccard import jaccard_join, same_components
 from wavemeter.llm.mixing import Mix, mix_sources, source_domain
 from wavemeter.llm.quality import keep_good
 from wavemeter.llm.secrets import redact
@@ -22,6 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every group that links at three quarters or more."""
+    return same_components(docs, jaccard_join(docs))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked and their lengths brought up to date."""
     return redact(docs, length="n_chars")
@@ -34,7 +41,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality), ("secret_scan", secrets), ("source_mix", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the bytes read back from them."""
+    import public_tokenizers
+
+    return digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("jaccard_join", near_duplicates),
+    ("secret_scan", secrets),
+    ("source_mix", mix),
+    ("byte_bpe", encode),
+]
 
 # Digests of masked texts and byte-pair ids are beyond SQL; tests hold them against brute force.
 ORACLE_SQL = None

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +63,6 @@ def shared_folder(spark: SparkSession) -> str:
         "spark.master", "local"
     ).startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    import tempfile
-
     root = tempfile.mkdtemp(prefix="llm-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -77,3 +78,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def zero() -> Column:
     return F.lit(0).cast("long")
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send the helpers that tasks import to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / "llm-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        out.write(here.parent / "__init__.py", f"{here.parent.name}/__init__.py")
+        for file in sorted(here.glob("*.py")):
+            out.write(file, f"{here.parent.name}/{here.name}/{file.name}")
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

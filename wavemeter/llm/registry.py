@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from wavemeter.llm.bpe import op5_byte_bpe
 from wavemeter.llm.chat import op1_chat_format
+from wavemeter.llm.jaccard import op8_jaccard_join
 from wavemeter.llm.mixing import op10_source_mix
 from wavemeter.llm.quality import op4_quality_rules
 from wavemeter.llm.secrets import op7_secret_scan
@@ -13,8 +15,10 @@ QUERIES = {
     for f in (
         op1_chat_format,
         op4_quality_rules,
+        op5_byte_bpe,
         op6_byte_shards,
         op7_secret_scan,
+        op8_jaccard_join,
         op10_source_mix,
     )
 }
