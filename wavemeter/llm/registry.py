@@ -9,11 +9,13 @@ from wavemeter.llm.mixing import op10_source_mix
 from wavemeter.llm.quality import op4_quality_rules
 from wavemeter.llm.secrets import op7_secret_scan
 from wavemeter.llm.shards import op6_byte_shards
+from wavemeter.llm.vectors import op2_vector_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_format,
+        op2_vector_dedup,
         op4_quality_rules,
         op5_byte_bpe,
         op6_byte_shards,
