@@ -5,6 +5,7 @@ from __future__ import annotations
 from wavemeter.llm.bpe import op5_byte_bpe
 from wavemeter.llm.chat import op1_chat_format
 from wavemeter.llm.jaccard import op8_jaccard_join
+from wavemeter.llm.licences import op9_licence_scan
 from wavemeter.llm.mixing import op10_source_mix
 from wavemeter.llm.quality import op4_quality_rules
 from wavemeter.llm.secrets import op7_secret_scan
@@ -21,6 +22,7 @@ QUERIES = {
         op6_byte_shards,
         op7_secret_scan,
         op8_jaccard_join,
+        op9_licence_scan,
         op10_source_mix,
     )
 }
