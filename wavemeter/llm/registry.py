@@ -7,6 +7,7 @@ from wavemeter.llm.chat import op1_chat_format
 from wavemeter.llm.jaccard import op8_jaccard_join
 from wavemeter.llm.licences import op9_licence_scan
 from wavemeter.llm.mixing import op10_source_mix
+from wavemeter.llm.passages import op3_passage_dedup
 from wavemeter.llm.quality import op4_quality_rules
 from wavemeter.llm.secrets import op7_secret_scan
 from wavemeter.llm.shards import op6_byte_shards
@@ -17,6 +18,7 @@ QUERIES = {
     for f in (
         op1_chat_format,
         op2_vector_dedup,
+        op3_passage_dedup,
         op4_quality_rules,
         op5_byte_bpe,
         op6_byte_shards,
