@@ -71,23 +71,27 @@ def leaf_budgets(rows: DataFrame, levels: list[str], tokens: str, mix: Mix) -> D
     product = F.lit(True)
     for depth in range(1, len(levels) + 1):
         product = product & (_weight(levels[:depth], mix.weights) > 0)
-    leaves = weighted.withColumn(
-        "capacity", F.when(product, F.col("available") * mix.epochs).otherwise(F.lit(0)).cast("long")
+    leaves = stored(
+        weighted.withColumn(
+            "capacity", F.when(product, F.col("available") * mix.epochs).otherwise(F.lit(0)).cast("long")
+        ),
+        "mixing-leaves",
     )
-    above: list[str] = ["root"]
-    budgets = leaves.groupBy(F.lit(0).alias("root")).agg(
-        F.expr(f"sum(available) * {mix.share[0]} div {mix.share[1]}").cast("long").alias("wanted"),
-        F.sum("capacity").alias("capacity"),
-    ).select("root", F.least("wanted", "capacity").alias("budget"))
+    # Two numbers for any input.
+    sums = leaves.agg(F.sum("available").alias("available"), F.sum("capacity").alias("capacity")).first()
+    share, of = mix.share
+    budget = min((sums["available"] or 0) * share // of, sums["capacity"] or 0)
     leaves = leaves.withColumn("root", F.lit(0))
+    above: list[str] = []
+    budgets = None
     for depth, name in enumerate(levels, 1):
         nodes = (
             leaves.groupBy("root", *levels[:depth])
             .agg(F.sum("capacity").alias("capacity"), F.sum("available").alias("available"))
             .withColumn("weight", _weight(levels[:depth], mix.weights))
             .filter("weight > 0")
-            .join(budgets, above)
         )
+        nodes = nodes.join(budgets, above) if depth > 1 else nodes.withColumn("budget", F.lit(budget).cast("long"))
         above = ["root", *levels[:depth]]
         budgets = _fill(nodes, above[:-1], name).select(*above, "budget", "available")
         if depth < len(levels):
@@ -122,21 +126,27 @@ def mix_sources(
         *(docs[c].alias(f"_c{i}") for i, c in enumerate(keep)),
     )
     inner = [f"_l{i}" for i in range(len(names))]
-    leaves = stored(leaf_budgets(rows, inner, "_tokens", mix), "mixing-budgets")
+    # Tokens are counted once for the sums; columns to keep are not written twice for it.
+    slim = stored(rows.select("_key", *inner, "_tokens"), "mixing-rows")
+    rows = rows if keep else slim
+    leaves = stored(leaf_budgets(slim, inner, "_tokens", mix), "mixing-budgets")
     if leaves.count() <= BROADCAST_LEAVES:
         leaves = F.broadcast(leaves)
-    bought = rows.join(leaves, inner).withColumns(
-        {
-            "_full": F.expr("if(available > 0, budget div available, 0)"),
-            "_rest": F.expr("if(available > 0, budget % available, 0)"),
-        }
-    )
     order = F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("_full"), F.coalesce(F.col("_key").cast("string"), F.lit(""))))
-    parted = bought.withColumn("_order", order).withColumn("_part", F.substring("_order", 1, 3))
+
+    def ordered(some: DataFrame) -> DataFrame:
+        bought = some.join(leaves, inner).withColumns(
+            {
+                "_full": F.expr("if(available > 0, budget div available, 0)"),
+                "_rest": F.expr("if(available > 0, budget % available, 0)"),
+            }
+        )
+        return bought.withColumn("_order", order).withColumn("_part", F.substring("_order", 1, 3))
+
     by_part = Window.partitionBy(*inner, "_part")
     upto = by_part.orderBy("_order", "_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part_totals = (
-        parted.groupBy(*inner, "_part").agg(F.sum("_tokens").alias("_amount"))
+        ordered(slim).groupBy(*inner, "_part").agg(F.sum("_tokens").alias("_amount"))
         .withColumn(
             "_ahead",
             F.coalesce(
@@ -148,7 +158,7 @@ def mix_sources(
         )
         .select(*inner, "_part", "_ahead")
     )
-    summed = parted.withColumn("_within", F.sum("_tokens").over(upto)).join(part_totals, [*inner, "_part"])
+    summed = ordered(rows).withColumn("_within", F.sum("_tokens").over(upto)).join(part_totals, [*inner, "_part"])
     epochs = F.when(
         (F.col("_rest") > 0) & (F.col("_ahead") + F.col("_within") <= F.col("_rest")), F.col("_full") + 1
     ).otherwise(F.col("_full"))
