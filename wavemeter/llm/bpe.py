@@ -15,39 +15,42 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from wavemeter.llm.expressions import ship_code
 
 # Texts of so many bytes are taken together, one longer text alone.
-CHUNK_BYTES = 4_000_000
-# Encoded words a worker remembers before it starts afresh; a matter of speed alone.
-KNOWN_WORDS = 400_000
+CHUNK_BYTES = 2_000_000
+# Encoded words a worker remembers before it forgets those seen once; a matter of speed alone.
+KNOWN_WORDS = 250_000
+# Words that one query encodes; bounds the rows of its rounds.
+WORDS_AT_ONCE = 40_000
 # Longer words go one by one through the query that merges many places in a round.
 SHORT_WORD = 64
 LONG_ROUNDS = 8
 
-# One round of every word still open: rows meet the merge table with their right neighbour, and
-# the leftmost pair of least rank becomes one row. A word without a pair gives no more rows.
-ENCODE_SHORT = """
-with recursive step(word, pos, tok, round) as (
-    select word, pos, tok, 0 from symbols
+# One round of every word still open: neighbours meet the merge table, and the leftmost pair of least
+# rank becomes one row. A key is the word's number and the place. A word without a pair gives no
+# more rows, and its last ones are its ids.
+ENCODE_SHORT = f"""
+with recursive step(key, tok, round) as (
+    select word::bigint * {2 * SHORT_WORD} + pos, tok, 0 from symbols
     union all
     (with linked as (
-        select *, lead(tok) over w as next_tok, lead(pos) over w as next_pos
-        from step window w as (partition by word order by pos)
-    ), ranked as (
-        select l.*, m.merged from linked l
-        left join merges m on l.tok = m.lft and l.next_tok = m.rgt
+        select key, tok, lead(tok) over w as next_tok, lead(key) over w as next_key
+        from step window w as (order by key)
+    ), pairs as (
+        select l.key, l.next_key, m.merged, l.key // {2 * SHORT_WORD} as word,
+               m.merged::bigint * {2 * SHORT_WORD} + l.key % {2 * SHORT_WORD} as cost
+        from linked l join merges m on l.tok = m.lft and l.next_tok = m.rgt
+        where l.key // {2 * SHORT_WORD} = l.next_key // {2 * SHORT_WORD}
     ), best as (
-        select word, arg_min(struct_pack(pos := pos, next_pos := next_pos, merged := merged),
-                             merged::bigint * 4294967296 + pos) as b
-        from ranked where merged is not null group by word
+        select word, min(cost) as cost from pairs group by word
+    ), cut as (
+        select p.key, p.next_key, p.merged from pairs p join best b on p.word = b.word and p.cost = b.cost
     )
-    select r.word, r.pos, case when r.pos = b.pos then b.merged else r.tok end, r.round + 1
-    from ranked r join best on r.word = best.word
-    where r.pos is distinct from b.next_pos)
+    select s.key, coalesce(c.merged, s.tok), s.round + 1
+    from step s join best b on s.key // {2 * SHORT_WORD} = b.word left join cut c on s.key = c.key
+    where not exists (select 1 from cut d where d.next_key = s.key))
 ), last as (
-    select word, max(round) as round from step group by word
+    select key // {2 * SHORT_WORD} as word, max(round) as round from step group by all
 )
-select s.word, list(s.tok order by s.pos) as ids
-from step s join last l on s.word = l.word and s.round = l.round
-group by s.word
+select s.key, s.tok from step s join last l on s.key // {2 * SHORT_WORD} = l.word and s.round = l.round
 """
 
 # The same for one long word, a few rounds at a time. If no pair with the merged token ranks below
@@ -96,6 +99,14 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+class _Numbered(dict):
+    """Words by number, in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Coder:
     """The vocabulary of one worker: merge table in DuckDB, and the words already encoded."""
 
@@ -117,6 +128,27 @@ class Coder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.tables: set[str] = set()
+        self.known = _Numbered()
+        self.ids = np.empty(0, np.int32)
+        self.lengths = np.empty(0, np.int64)
+        self.seen = np.empty(0, np.int64)
+
+    def _table(self, name: str, **columns) -> None:
+        self.db.register("given", pa.table(columns))
+        self.db.execute(f"create or replace table {name} as select * from given")
+        self.db.unregister("given")
+
+    def _need(self, name: str) -> None:
+        """Make a table of the vocabulary when it is first used."""
+        if name in self.tables:
+            return
+        self.tables.add(name)
+        if name == "vocabulary":
+            tokens = np.fromiter(self.ranks.values(), np.int32, len(self.ranks))
+            self._table(name, tok=tokens, hex=[token.hex() for token in self.ranks])
+            return
         merges = [
             (self.ranks[token[:i]], self.ranks[token[i:]], rank)
             for token, rank in self.ranks.items()
@@ -125,24 +157,19 @@ class Coder:
         ]
         lft, rgt, merged = (np.array(x, np.int32) for x in zip(*merges, strict=True))
         restless = np.union1d(lft[lft > merged], rgt[rgt > merged])
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self._table("merges", lft=lft, rgt=rgt, merged=merged, calm=~np.isin(merged, restless))
-        self._table(
-            "vocabulary",
-            tok=np.fromiter(self.ranks.values(), np.int32, len(self.ranks)),
-            hex=[token.hex() for token in self.ranks],
-        )
-        self._forget()
-
-    def _table(self, name: str, **columns) -> None:
-        self.db.register("given", pa.table(columns))
-        self.db.execute(f"create or replace table {name} as select * from given")
-        self.db.unregister("given")
+        self._table(name, lft=lft, rgt=rgt, merged=merged, calm=~np.isin(merged, restless))
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(0, np.int32)
-        self.lengths = np.empty(0, np.int64)
+        """Keep the words seen more than once since the last time, if that halves them."""
+        kept = np.flatnonzero(self.seen > 1)
+        if len(kept) > KNOWN_WORDS // 2:
+            kept = kept[:0]
+        words = list(self.known)
+        ends = np.cumsum(self.lengths)
+        self.ids = np.concatenate([np.empty(0, np.int32), *(self.ids[ends[i] - self.lengths[i] : ends[i]] for i in kept)])
+        self.lengths = self.lengths[kept]
+        self.known = _Numbered((words[i], n) for n, i in enumerate(kept.tolist()))
+        self.seen = np.zeros(len(kept), np.int64)
 
     def _symbols(self, words: list[bytes]) -> None:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -154,47 +181,66 @@ class Coder:
             tok=self.bytes[flat],
         )
 
-    def _long(self, word: bytes) -> list[int]:
+    def _short(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words one after another, and how many each has."""
+        self._need("merges")
+        self._symbols(words)
+        found = self.db.sql(ENCODE_SHORT).to_arrow_table()
+        key = found["key"].to_numpy()
+        order = np.argsort(key)
+        counts = np.bincount(key // (2 * SHORT_WORD), minlength=len(words))
+        return found["tok"].to_numpy()[order].astype(np.int32), counts
+
+    def _long(self, word: bytes) -> np.ndarray:
+        self._need("merges")
         self._symbols([word])
         while True:
             found = self.db.sql(ENCODE_LONG).to_arrow_table()
             tokens = found["tok"].to_numpy()
             if found["rounds"][0].as_py() < LONG_ROUNDS:
-                return tokens.tolist()
+                return np.array(tokens, np.int32)
             self._table("symbols", pos=np.arange(len(tokens), dtype=np.int32), tok=tokens)
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words and append their ids to those known."""
-        out: list[list[int]] = [[]] * len(words)
-        short: list[tuple[int, bytes]] = []
-        for i, word in enumerate(words):
-            raw = word.encode()
-            if raw in self.ranks:
-                out[i] = [self.ranks[raw]]
-            elif len(raw) <= SHORT_WORD:
-                short.append((i, raw))
-            else:
-                out[i] = self._long(raw)
+        raw = [word.encode() for word in words]
+        whole = [self.ranks.get(word, -1) for word in raw]
+        lengths = np.ones(len(raw), np.int64)
+        pieces: dict[int, np.ndarray] = {}
+        short = [i for i, word in enumerate(raw) if whole[i] < 0 and len(word) <= SHORT_WORD]
+        for start in range(0, len(short), WORDS_AT_ONCE):
+            some = short[start : start + WORDS_AT_ONCE]
+            ids, counts = self._short([raw[i] for i in some])
+            lengths[some] = counts
+            pieces[start] = ids
+        long = {i: self._long(word) for i, word in enumerate(raw) if whole[i] < 0 and len(word) > SHORT_WORD}
+        for i, ids in long.items():
+            lengths[i] = len(ids)
+        flat = np.empty(int(lengths.sum()), np.int32)
+        first = np.cumsum(lengths) - lengths
+        single = np.array(whole, np.int64)
+        flat[first[single >= 0]] = single[single >= 0]
         if short:
-            self._symbols([raw for _, raw in short])
-            found = self.db.sql(ENCODE_SHORT).to_arrow_table()
-            for n, ids in zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True):
-                out[short[n][0]] = ids
-        lengths = np.fromiter(map(len, out), np.int64, len(out))
-        flat = np.fromiter((i for ids in out for i in ids), np.int32, int(lengths.sum()))
+            counts = lengths[short]
+            at = np.repeat(first[short] - (np.cumsum(counts) - counts), counts)
+            flat[at + np.arange(len(at))] = np.concatenate(list(pieces.values()))
+        for i, ids in long.items():
+            flat[first[i] : first[i] + len(ids)] = ids
         self.ids, self.lengths = np.concatenate([self.ids, flat]), np.concatenate([self.lengths, lengths])
+        self.seen = np.concatenate([self.seen, np.zeros(len(raw), np.int64)])
 
     def encode(self, texts: list[str]) -> pa.ListArray:
         if len(self.known) > KNOWN_WORDS:
             self._forget()
-        before, number, counts, seen = len(self.known), self.known.setdefault, [], []
+        before, number, counts, seen = len(self.known), self.known.__getitem__, [], []
         for text in texts:
             pieces = self.pattern.findall(text)
             counts.append(len(pieces))
-            seen.extend([number(piece, len(self.known)) for piece in pieces])
+            seen.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
         if len(self.known) > before:
             self._learn(list(self.known)[before:])
-        at = np.array(seen, np.int64)
+        at = np.concatenate([np.empty(0, np.int64), *seen])
+        self.seen += np.bincount(at, minlength=len(self.seen))
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         starts = (np.cumsum(self.lengths) - self.lengths)[at]
@@ -205,6 +251,7 @@ class Coder:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
+        self._need("vocabulary")
         offsets = np.asarray(ids.offsets, np.int64)
         lengths = np.diff(offsets)
         flat = np.asarray(ids.flatten(), np.int32)
