@@ -100,3 +100,10 @@ def test_window_ends_are_half_open(facts, config):
         ]
     )
     assert [v for _, _, v in found(busy_hours(df, config(), RUN, "WEEKLY_BUSY_HOUR"))] == [2.0, 1.0]
+
+
+def test_settings_of_one_node_stay_apart(spark, facts, config):
+    df = facts([("2024-01-16 10:00:00", {"value": 5.0}), ("2024-01-16 10:05:00", {"value": 7.0})])
+    cfg = config().unionByName(config(node_name="m", aggregationFunction="MAX")).unionByName(config())
+    out = busy_hours(df, cfg, datetime(2024, 1, 22, 4), "WEEKLY_BUSY_HOUR").collect()
+    assert sorted((r["BH_configuration_name"], r["BH_value"]) for r in out) == [("m", 7.0), ("n", 12.0)]

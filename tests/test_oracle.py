@@ -4,12 +4,14 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.oracle import compare
+from wavemeter.plans.catalog import all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+REGISTERED, ORACLES = queries(), oracle_sql()
+QUERIES = {name: REGISTERED[name] for name in all_queries()}
 
 
 def test_oracles_name_queries():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(REGISTERED)
 
 
 def test_entry(spark):

@@ -2,14 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from wavemeter.plans.fixtures import metric_view, table
 from wavemeter.plans import thresholds
+from wavemeter.plans.catalog import all_queries
 from wavemeter.operators.rollup import rollup_group, rollup_temporal
 from wavemeter.operators.threshold import evaluate_spatial
 from datetime import datetime
 
-QUERIES = queries()
+QUERIES = {name: query.run for name, query in all_queries().items()}
 BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "sink_", "load_control")))
 
 
@@ -57,3 +57,19 @@ def test_group_rollup_prunes_columns(spark, sf):
     view = metric_view(facts).withColumn("ballast", F.col("category"))
     text = plan(rollup_group(view, "15m", sketch=False))
     assert "ballast" not in text
+
+
+def test_stored_reads_open_only_their_partitions(spark, sf):
+    from wavemeter.operators.stored import store_level
+    from wavemeter.session import work_folder
+    from wavemeter.sources.landed import read_buckets, read_interval
+
+    path = work_folder(spark, "pruned")
+    start, end = datetime(2024, 1, 8), datetime(2024, 1, 12)
+    store_level(spark, metric_view(table(spark, sf, "events")), path, "15m", start, end, sketch=False)
+    part = read_interval(spark, path, datetime(2024, 1, 9), datetime(2024, 1, 10), "hour")
+    text = plan(part)
+    assert "t2024010900" in text.split("PartitionFilters", 1)[1] and "t2024010923" in text
+    days = [datetime(2024, 1, 8, 5), datetime(2024, 1, 11, 7)]
+    text = plan(read_buckets(spark, path, days, "hour"))
+    assert "bucket_day#" in text.split("PartitionFilters", 1)[1] and "t2024010805" in text and "t2024011107" in text

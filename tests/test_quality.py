@@ -79,3 +79,11 @@ def test_completeness_decisions(spark):
     )
     got = {r["kpi_id"]: r["status"] for r in completeness(counts, history, 95).collect()}
     assert got == {"full": "LOAD", "short": "PARTIAL", "new": "LOAD", "empty": "PARTIAL"}
+
+
+def test_silent_scope_is_partial(spark):
+    schema = "kpi_id string, managedobject_id string, granularityinterval string, aggregation_time string, records long"
+    history = spark.createDataFrame([(k, "m", "PT300S", "DAY", 10) for k in ("k1", "k2", None)], schema)
+    now = spark.createDataFrame([("k1", "m", "PT300S", "DAY", 10), ("k3", "m", "PT300S", "DAY", 1)], schema)
+    out = {r["kpi_id"]: (r["records"], r["status"]) for r in completeness(now, history, 95).collect()}
+    assert out == {"k1": (10, "LOAD"), "k2": (0, "PARTIAL"), None: (0, "PARTIAL"), "k3": (1, "LOAD")}

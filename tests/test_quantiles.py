@@ -72,20 +72,28 @@ def test_rate_uses_summed_parts(spark):
     assert {r["k"]: r["out"] for r in out.collect()} == {"a": 1.25, "b": 4.0, "c": 4.0}
 
 
-def test_value_list_is_bounded_but_totals_are_not(spark, facts):
-    rows = [("2024-01-05 10:00:00", {"value": float(v)}) for v in range(50)]
-    out = wide_agg(facts(rows + [("2024-01-05 10:05:00", {"value": None})]), bound=10).first()
-    assert out["value_array"] == [float(v) for v in range(10)]
-    assert (out["value_count"], out["value_sum"], out["value_max"]) == (50, 1225.0, 49.0)
-    assert out["__time"].hour == 7 and set(WIDE_KEYS) <= set(out.asDict())
-
-
-def test_bounded_list_keeps_repeated_values(facts):
-    values = [0.0] * 12 + [1.0, 2.0, 2.0, 2.0, 3.0]
+def listed(frame):
+    """Values of every group, its rows put together, and the lengths of its rows."""
+    values, sizes = {}, {}
+    for r in frame.collect():
+        values.setdefault(r["dn"], []).extend(r["value_array"])
+        sizes.setdefault(r["dn"], []).append(len(r["value_array"]))
+        assert r["value_array"] == sorted(r["value_array"]) and r["part"] < r["parts"]
+    return {k: sorted(v) for k, v in values.items()}, sizes
+
+
+@pytest.mark.parametrize("per_row", [7, 50, 100_000])
+def test_no_value_is_lost(facts, per_row):
+    values = [float(v) for v in range(300)] + [1.0] * 90 + [2.5] * 400
     rows = [("2024-01-05 10:00:00", {"value": v}) for v in values]
-    rows += [("2024-01-05 10:00:00", {"value": v, "dn": "other"}) for v in (2.0, 1.0)]
-    got = {r["dn"]: r["value_array"] for r in wide_agg(facts(rows), bound=15, salts=3).collect()}
-    assert got == {"dn-1": sorted(values)[:15], "other": [1.0, 2.0]}
+    rows += [("2024-01-05 10:05:00", {"value": v, "dn": "other"}) for v in (2.0, 1.0, None)]
+    out = wide_agg(facts(rows), per_row=per_row)
+    got, sizes = listed(out)
+    assert got == {"dn-1": sorted(values), "other": [1.0, 2.0]}
+    assert max(sizes["dn-1"]) <= 4 * per_row
+    for r in out.where("dn = 'dn-1'").collect():
+        assert (r["value_count"], r["value_sum"], r["value_max"]) == (len(values), sum(values), 299.0)
+        assert r["__time"].hour == 7 and set(WIDE_KEYS) <= set(r.asDict())
 
 
 def test_all_null_group_keeps_its_row(facts):

@@ -29,7 +29,7 @@ def test_interval_replace(spark):
     replace_interval(spark, table(spark, 1, 2, 3, 8), path, *day, ("networkGroup",))
     before = content(spark, path)
     morning = (datetime(2024, 1, 5, 2), datetime(2024, 1, 5, 4))
-    changed = table(spark, 1, 2, 5).withColumn("v", F.col("v") + 100)
+    changed = table(spark, 2).withColumn("v", F.col("v") + 100)
     for _ in range(2):
         replace_interval(spark, changed, path, *morning, ("networkGroup",))
     after = content(spark, path)
@@ -38,6 +38,18 @@ def test_interval_replace(spark):
     assert {r[0] for r in after} == {1, 2, 8} and all(v == 102 for h, _, v in after if h == 2)
 
 
+def test_interval_replace_refuses_what_it_would_lose(spark):
+    path = work_folder(spark, "refuse")
+    day = (datetime(2024, 1, 5), datetime(2024, 1, 6))
+    replace_interval(spark, table(spark, *range(24)), path, *day, ("networkGroup",), "day")
+    before = content(spark, path)
+    with pytest.raises(ValueError, match="not aligned"):
+        replace_interval(spark, table(spark, 10, 11), path, datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 12), ("networkGroup",), "day")
+    with pytest.raises(Exception, match="outside"):
+        replace_interval(spark, table(spark, 10), path, datetime(2024, 1, 6), datetime(2024, 1, 7), ("networkGroup",), "day")
+    assert content(spark, path) == before and len(before) == 72
+
+
 def test_state_merge_is_idempotent(spark):
     path = work_folder(spark, "state")
 

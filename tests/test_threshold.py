@@ -157,7 +157,8 @@ def test_history_bundle(facts, config):
     spans = record_range(spatial_scope(df, cfg, 5, *bounds))
     records = alarm_records(result, spans, cfg, 300, "PT300S", bounds[1])
     assert set(RECORD_FIELDS) <= set(records.columns)
-    bundle = history_bundle(records).collect()
+    # Records given twice change nothing.
+    bundle = history_bundle(records.unionByName(records)).collect()
     assert len(bundle) == 1
     row = bundle[0]
     assert row["current"]["value"] == 5.0

@@ -246,6 +246,9 @@ def previous_period_bounds(run_ts: datetime, grain: str) -> tuple[datetime, date
         if run_ts.day <= 15:
             return before + timedelta(days=15), first
         return first, first + timedelta(days=15)
+    if grain == "YEAR":
+        january = first.replace(month=1)
+        return january.replace(year=january.year - 1), january
     raise ValueError(f"unknown grain {grain!r}")
 
 

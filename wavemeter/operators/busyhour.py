@@ -62,6 +62,10 @@ def busy_hour_scope(cfg: DataFrame, run_ts: datetime, period: str) -> DataFrame:
         .withColumn("days", day_numbers(named_days))
         .withColumn("hours", hour_numbers(F.col("effective_hours")))
         .withColumn("granularityInterval", period_tag(F.col("defaultTimeGranularity")))
+        # Every setting is evaluated alone, also where two name the same node and KPI; settings
+        # that agree in everything are one.
+        .withColumn("setting", F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in cfg.columns]))))
+        .dropDuplicates(["setting"])
     )
     if period == "DAILY_BUSY_HOUR":
         scoped = scoped.where(special | on_days(F.col("window_start"), F.col("days")))
@@ -103,7 +107,7 @@ def _in_scope(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFr
     ).where(F.col("value").isNotNull())
     configs = scope.select(
         "node_id", "node_name", "kpi_id", "kpi_name", "managedObject_id", "managedObject_name",
-        "granularityInterval", "window_start", "window_end", "days", "hours", "level",
+        "granularityInterval", "window_start", "window_end", "days", "hours", "level", "setting",
         "aggregationFunction", F.coalesce("percentileValue", F.lit(0.0)).alias("percentileValue"),
     )
     on = (
@@ -130,7 +134,9 @@ def scope_counts(metrics: DataFrame, scope: DataFrame) -> DataFrame:
 def hourly_values(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFrame:
     """One row per config, element, category and hour with the configured aggregate."""
     rows = _in_scope(metrics, scope, known).withColumn("hour", floor_minutes(TIME, 60))
-    keys = ["node_id", "kpi_id", "managedObject_id", "granularityInterval", "dn", "category", "hour"]
+    keys = [
+        "setting", "node_id", "kpi_id", "managedObject_id", "granularityInterval", "dn", "category", "hour",
+    ]
     values = aggregate_by_name(
         rows, keys, "aggregationFunction", "percentileValue", "value", "metric",
         functions=known.functions,
@@ -156,21 +162,20 @@ def busy_hours(
     hours = hourly_values(metrics, scope, known)
     order = [F.desc("metric"), F.asc("hour"), F.asc_nulls_first("category")]
     if distinct_days and period != "DAILY_BUSY_HOUR":
-        by_day = W.partitionBy("node_id", "kpi_id", "dn", day_start(F.col("hour"))).orderBy(*order)
+        by_day = W.partitionBy("setting", "dn", day_start(F.col("hour"))).orderBy(*order)
         hours = hours.withColumn("rank_of_day", F.row_number().over(by_day)).where(
             F.col("rank_of_day") == 1
         )
-    overall = W.partitionBy("node_id", "kpi_id", "dn").orderBy(*order)
+    overall = W.partitionBy("setting", "dn").orderBy(*order)
     # The literal bound lets Spark drop lower ranks before the shuffle of the window.
     ranked = hours.withColumn("BH_level", F.row_number().over(overall)).where(
         F.col("BH_level") <= MAX_LEVEL
     )
     labels = scope.select(
-        "node_id", "kpi_id", "node_name", "kpi_name", "managedObject_name", "level",
-        "window_start", "window_end",
+        "setting", "node_name", "kpi_name", "managedObject_name", "level", "window_start", "window_end",
     )
     side = F.broadcast(labels) if known.broadcastable else labels
-    named = ranked.join(side, ["node_id", "kpi_id"]).where(
+    named = ranked.join(side, "setting").where(
         F.array_contains("level", F.col("BH_level"))
     )
     return named.select(

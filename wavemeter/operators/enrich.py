@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavemeter.functions.quantiles import any_above
 from wavemeter.functions.scalars import split_addresses
 from wavemeter.functions.timeutil import floor_minutes, ts_lit
 from wavemeter.model import TIME
@@ -78,77 +77,57 @@ def volume_by_dimension(
     )
 
 
-# Keys of the wide 15-minute aggregate and the bound of its value list.
+# Keys of the wide 15-minute aggregate and how many values a row of it lists.
 WIDE_KEYS = (
     "metricId", "formulaId", "dn", "additionalDn", "elementType", "sourceSystem", "managerIp",
     "isRate", "vendorId", "sourceVendor", "functionId", "equipmentId", "locationId",
     "equipmentTypeId", "managedObjectId", "networkGroups", "pollingRuleId",
 )
-VALUE_LIST_BOUND = 100_000
+VALUES_PER_ROW = 100_000
 LABEL_SHIFT_HOURS = 3
 
 
-def wide_agg(df: DataFrame, bound: int = VALUE_LIST_BOUND, salts: int = 64) -> DataFrame:
-    """15-minute sums, extremes and counts per 17 keys, plus the ``bound`` smallest values.
+def wide_agg(df: DataFrame, per_row: int = VALUES_PER_ROW) -> DataFrame:
+    """15-minute sums, extremes and counts per 17 keys, with every value listed.
 
-    Usual groups gather their values in the one aggregation that also answers the totals. A
-    group of more than ``bound`` values is limited by rank first, in ``salts`` parts and then
-    over their survivors, so no task holds it whole; its totals still see every row.
+    A group of more than about ``per_row`` values has several rows, numbered by ``part`` of
+    ``parts``: each repeats the totals and lists its own values, ascending, so no array grows
+    with the group and none is lost. The part of a value follows from the value and its place
+    among equals, and the number of parts from the counted size; one plan serves every size.
+    Equal values travel as one counted row.
     """
     keys = [TIME, *WIDE_KEYS]
     rows = df.select(floor_minutes(TIME, 15).alias(TIME), *WIDE_KEYS, "value")
-    totals = [
-        F.sum("value").alias("value_sum"),
+    weighted = rows.groupBy(*keys, "value").agg(
+        F.sum("value").alias("__sum"), F.count("value").alias("__w")
+    )
+    totals = weighted.groupBy(*keys).agg(
+        F.sum("__sum").alias("value_sum"),
         F.max("value").alias("value_max"),
         F.min("value").alias("value_min"),
-        F.count("value").alias("value_count"),
-    ]
-    sizes = rows.groupBy(*keys).agg(F.count("value").alias("__n"))
-    if not any_above(sizes, "__n", bound):
-        return _labelled(
-            rows.groupBy(*keys).agg(
-                *totals, F.sort_array(F.collect_list("value")).alias("value_array")
-            )
-        )
-    hot = sizes.where(F.col("__n") > bound).select(*keys, F.lit(True).alias("__hot"))
-    marked = join_null_safe(rows, hot, keys, "left")
-    usual = F.when(F.col("__hot").isNull(), F.col("value"))
-    grouped = marked.groupBy(*keys).agg(
-        *totals, F.sort_array(F.collect_list(usual)).alias("__few")
+        F.sum("__w").alias("value_count"),
+        F.greatest(F.lit(1), F.ceil(F.sum("__w") / F.lit(per_row))).cast("int").alias("parts"),
     )
-    # Equal values travel as one weighted row, and the part of a value follows from the value
-    # alone, so a task that runs again sends every row to the same place.
-    large = (
-        marked.where(F.col("__hot") & F.col("value").isNotNull())
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("__w"))
-        .withColumn("__salt", F.pmod(F.xxhash64("value"), F.lit(salts)))
+    # A value held by many rows is itself shared out, so that no part repeats it without bound.
+    share = F.ceil(F.col("__w") / F.col("parts")).cast("long")
+    listed = (
+        join_null_safe(weighted, totals, keys)
+        .withColumn("__first", F.pmod(F.xxhash64("value"), F.col("parts")).cast("int"))
+        .withColumn("__k", F.explode(F.sequence(F.lit(0), F.least(F.col("parts").cast("long"), F.greatest(F.col("__w"), F.lit(1))) - 1)))
+        .withColumn("__n", F.greatest(F.lit(0), F.least(share, F.col("__w") - F.col("__k") * share)))
+        .withColumn("part", F.pmod(F.col("__first") + F.col("__k"), F.col("parts")).cast("int"))
     )
-
-    def before(*part: str) -> Column:
-        return F.sum("__w").over(W.partitionBy(*keys, *part).orderBy("value")) - F.col("__w")
-
-    smallest = (
-        large.withColumn("__before", before("__salt"))
-        .where(F.col("__before") < bound)
-        .withColumn("__before", before())
-        .where(F.col("__before") < bound)
-        .withColumn("__w", F.least(F.col("__w"), F.lit(bound) - F.col("__before")))
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("value", "__w"))).alias("__weighted"))
-        .withColumn(
-            "__many",
-            F.flatten(
-                F.transform(
-                    "__weighted", lambda x: F.array_repeat(x["value"], x["__w"].cast("int"))
-                )
-            ),
+    repeated = F.flatten(
+        F.transform(
+            F.sort_array(F.collect_list(F.when(F.col("__n") > 0, F.struct("value", "__n")))),
+            lambda x: F.array_repeat(x["value"], x["__n"].cast("int")),
         )
-        .drop("__weighted")
     )
-    both = join_null_safe(grouped, smallest, keys, "left")
+    shown = ["value_sum", "value_max", "value_min", "value_count", "parts"]
     return _labelled(
-        both.withColumn("value_array", F.coalesce("__many", "__few")).drop("__many", "__few")
+        listed.groupBy(*keys, "part").agg(
+            *(F.first(c).alias(c) for c in shown), repeated.alias("value_array")
+        )
     )
 
 

@@ -115,9 +115,15 @@ def completeness(
 
     A scope loads when it has rows and reaches ``percent`` of the median of its past record
     counts (half-even rounding); a scope without history needs one row. Otherwise it is
-    partial once the waiting time is over.
+    partial once the waiting time is over. A scope with history but no row now counts 0.
     """
     scope = list(scope)
+    known = history.select(*scope).distinct()
+    counts = (
+        join_null_safe(known.unionByName(counts.select(*scope)).distinct(), counts, scope, "left")
+        .withColumn("records", F.coalesce("records", F.lit(0)))
+        .select(*scope, "records")
+    )
     median = exact_percentile(history, scope, "records", 0.5, "median")
     needed = F.bround(F.coalesce("median", F.lit(0.0)) * F.lit(percent / 100.0), 0).cast("long")
     gated = join_null_safe(counts, median, scope, "left").withColumn("acceptable", needed)

@@ -247,6 +247,9 @@ def period_of(ts: Column, grain: str) -> tuple[Column, Column]:
         middle = first + days_interval(15)
         early = F.dayofmonth(ts) <= 15
         return F.when(early, first).otherwise(middle), F.when(early, middle).otherwise(following)
+    if grain == "YEAR":
+        january = F.date_trunc("YEAR", ts).cast("timestamp_ntz")
+        return january, month_shift(january, 12)
     raise ValueError(f"unknown grain {grain!r}")
 
 
@@ -561,12 +564,13 @@ def history_bundle(records: DataFrame) -> DataFrame:
         F.max_by(record, "beginTime").alias("current"),
         F.collect_list(F.struct(F.col("beginTime").alias("t"), record.alias("r"))).alias("__all"),
     )
+    # A feed that repeats records names a begin time twice; one record of each time stays.
     earlier = F.filter("__all", lambda e: e["t"] < F.col("current")["beginTime"])
-    return grouped.select(
-        *keys,
-        "current",
-        F.map_from_entries(earlier).alias("values"),
+    timed = grouped.withColumn("__all", earlier).withColumn(
+        "__times", F.array_sort(F.array_distinct(F.col("__all.t")))
     )
+    first = F.transform("__times", lambda t: F.get(F.filter("__all", lambda e: e["t"] == t), 0)["r"])
+    return timed.select(*keys, "current", F.map_from_arrays("__times", first).alias("values"))
 
 
 def expand_supergroups(cfg: DataFrame, children: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from wavemeter.plans import busyhours, counting, landing, operations, rollups, schedules, thresholds
+from wavemeter.plans import busyhours, counting, landing, operations, rollups, schedules, stored, thresholds
 from wavemeter.plans.fixtures import Query
 
-_MODULES = (rollups, busyhours, counting, thresholds, operations, landing, schedules)
+_MODULES = (rollups, busyhours, counting, thresholds, operations, landing, schedules, stored)
 
 
 def all_queries() -> dict[str, Query]:

@@ -236,8 +236,9 @@ def replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = datetime(2024, 1, 1), datetime(2024, 2, 1)
     lost = rolled.where(F.to_date(TIME) != F.lit("2024-01-20"))
     replace_interval(spark, lost, path, start, end, cluster, "day")
+    day = rolled.where(F.to_date(TIME) == F.lit(CUT.date()))
     for _ in range(2):
-        replace_interval(spark, rolled, path, CUT, CUT + timedelta(days=1), cluster, "day")
+        replace_interval(spark, day, path, CUT, CUT + timedelta(days=1), cluster, "day")
     return show_group(spark.read.parquet(path))
 
 
@@ -395,10 +396,10 @@ QUERIES = {
     "load_control_status": Query(control, CONTROL_SQL),
     "lookup_messages": Query(lookup_messages, LOOKUP_SQL),
     "row_messages": Query(row_messages, ROW_MESSAGES_SQL),
-    "stream_rollup_15m": Query(streamed(("15m",), "0 seconds"), _stream_sql(15, "INTERVAL 0 HOUR")),
+    "stream_rollup_15m": Query(streamed(("15m",), "1 hour"), _stream_sql(15, "INTERVAL 1 HOUR")),
     "stream_rollup_late_2h": Query(streamed(("15m",), "2 hours"), _stream_sql(15, "INTERVAL 2 HOUR")),
     "stream_cascade_hourly": Query(
-        streamed(("15m", "hourly"), "0 seconds"), _stream_sql(60, "INTERVAL 0 HOUR")
+        streamed(("15m", "hourly"), "1 hour"), _stream_sql(60, "INTERVAL 1 HOUR")
     ),
     "stream_element_status": Query(stream_elements, ELEMENTS_SQL),
     "stream_dead_letters": Query(stream_errors, STREAM_ERRORS_SQL),

@@ -303,13 +303,13 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = history_bundle(_records(spark, sf_dir).where("isRate"))
+    out = history_bundle(_records(spark, sf_dir))
     current = F.col("current")
     return out.select(
         "thresholdId", "dn", "run_start",
         current["beginTime"].alias("current_begin"),
         F.round(current["value"], 6).alias("current_value"),
-        F.explode("values").alias("begin", "record"),
+        F.explode_outer("values").alias("begin", "record"),
     ).select(
         "thresholdId", "dn", "run_start", "current_begin", "current_value",
         F.col("begin").alias("history_begin"),
@@ -317,7 +317,7 @@ def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HISTORY_FROM = datetime(2024, 1, 6)
+HISTORY_FROM = FIRST
 _RECORDS_SQL = f"""{spatial_result_sql('BY_GROUP', 5, 'PT300S', HISTORY_FROM, LAST)}, span AS (
     SELECT node_id, kpi_id, run_start, ws, min(__time) AS lo FROM k GROUP BY ALL
 ), rec AS (
@@ -336,15 +336,14 @@ SELECT run_start, kpi_id AS "metricId", kpi_name AS name, rdn AS dn, 'BY_GROUP'
 MESSAGES_SQL = f"""{_RECORDS_SQL}
 SELECT rdn || '+' || node_id AS key, "beginTime", round(metric0, 6) AS value, 41 AS fields FROM rec"""
 BUNDLE_SQL = f"""{_RECORDS_SQL}, n AS (
-    SELECT *, max("beginTime") OVER (PARTITION BY node_id, kpi_id, rdn, run_start) AS newest
-    FROM rec WHERE rate
+    SELECT *, max("beginTime") OVER (PARTITION BY node_id, kpi_id, rdn, run_start) AS newest FROM rec
 )
-SELECT o.node_id AS "thresholdId", o.rdn AS dn, o.run_start, o.newest AS current_begin,
+SELECT c.node_id AS "thresholdId", c.rdn AS dn, c.run_start, c.newest AS current_begin,
     round(c.metric0, 6) AS current_value, o."beginTime" AS history_begin,
     round(o.metric0, 6) AS history_value
-FROM n o JOIN n c ON c.node_id = o.node_id AND c.kpi_id = o.kpi_id AND c.rdn = o.rdn
-    AND c.run_start = o.run_start AND c."beginTime" = c.newest
-WHERE o."beginTime" < o.newest"""
+FROM n c LEFT JOIN n o ON c.node_id = o.node_id AND c.kpi_id = o.kpi_id AND c.rdn = o.rdn
+    AND c.run_start = o.run_start AND o."beginTime" < o.newest
+WHERE c."beginTime" = c.newest"""
 RANGES_SQL = f"""{_scope_sql(None, None, options=False)}
 SELECT node_id, kpi_id, {_window_sql('DAY')[1]} AS window_start, min(__time) AS min_record,
     max(__time) AS max_record, count(*) AS records

@@ -34,9 +34,9 @@ def build_session(app: str = "wavemeter", master: str | None = None, **conf: str
 
 
 def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime-changeable defaults on a session somebody else built."""
-    for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
+    """Times are read as UTC whatever session the caller built; its other settings stay."""
+    if spark.conf.get("spark.sql.session.timeZone") != DEFAULTS["spark.sql.session.timeZone"]:
+        spark.conf.set("spark.sql.session.timeZone", DEFAULTS["spark.sql.session.timeZone"])
     return spark
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from wavemeter.functions.timeutil import ts_lit
 from wavemeter.model import TIME
 from wavemeter.operators.status import latest_per_key, upsert
+from wavemeter.sources.landed import PARTITION, partition_label
 
 ROWS_PER_FILE = 4_000_000
-PARTITION = "bucket_day"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -45,16 +45,23 @@ def replace_interval(
 ) -> None:
     """Replace exactly ``[start, end)`` of a table partitioned by time grain.
 
-    The bounds must be aligned to the grain. Partitions of the interval that get no new row
-    are removed, other partitions stay untouched, and a second run gives the same table.
+    Bounds that are not aligned to the grain are refused, as partitions are replaced whole, and
+    a row outside the interval ends the job. Partitions of the interval that get no new row are
+    removed, other partitions stay untouched, and a second run gives the same table.
     """
+    for bound in (start, end):
+        if bound != _floor(bound, grain):
+            raise ValueError(f"{bound} is not aligned to a {grain}")
     label = {"day": "yyyyMMdd", "hour": "yyyyMMddHH", "minute": "yyyyMMddHHmm"}[grain]
-    form = {"day": "%Y%m%d", "hour": "%Y%m%d%H", "minute": "%Y%m%d%H%M"}[grain]
     # A fixed prefix keeps the labels text when the table is read back.
-    rows = df.where((F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end))).withColumn(
-        PARTITION, F.concat(F.lit("t"), F.date_format(TIME, label))
+    inside = (F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end))
+    outside = F.raise_error(
+        F.concat(F.lit(f"outside [{start}, {end}): "), F.coalesce(F.col(TIME).cast("string"), F.lit("null")))
     )
-    first, last = start.strftime(f"t{form}"), end.strftime(f"t{form}")
+    rows = df.withColumn(
+        PARTITION, F.when(inside, F.concat(F.lit("t"), F.date_format(TIME, label))).otherwise(outside)
+    )
+    first, last = partition_label(start, grain), partition_label(end, grain)
     before = _partition_files(spark, path, PARTITION, first, last)
     _write_partitions(rows, path, PARTITION, cluster)
     after = _partition_files(spark, path, PARTITION, first, last)
@@ -65,6 +72,11 @@ def replace_interval(
             files.delete(folder, True)
 
 
+def _floor(moment: datetime, grain: str) -> datetime:
+    smaller = {"day": {"hour": 0, "minute": 0}, "hour": {"minute": 0}, "minute": {}}[grain]
+    return moment.replace(second=0, microsecond=0, **smaller)
+
+
 def _partition_files(
     spark: SparkSession, path: str, column: str, first: str, last: str
 ) -> dict[str, set[str]]:
@@ -86,7 +98,8 @@ def write_busy_hours(df: DataFrame, path: str) -> None:
     keys = ("periodicity", "data_date", "BH_configuration_id")
     (
         df.withColumn("data_date", F.date_format("data_date_start", "'d'yyyyMMdd"))
-        .repartition(*keys)
+        # By range of element, so that a config with most rows is written by many tasks.
+        .repartitionByRange(*keys, "dn", "BH_level")
         .sortWithinPartitions(*keys, "dn", "BH_level")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -97,13 +110,18 @@ def write_busy_hours(df: DataFrame, path: str) -> None:
 
 
 def compact(
-    spark: SparkSession, stage: str, lake: str, keys: Sequence[str], spread: int = 1
+    spark: SparkSession, stage: str, lake: str, keys: Sequence[str], spread: int | None = None
 ) -> None:
     """Partial files of a stage as ``spread`` files per partition, promoted to the lake.
 
-    Promotion overwrites the partitions found in the stage and leaves the others alone.
+    Without ``spread`` the largest partition is counted and written in files of the usual
+    size, each by its own task. Promotion overwrites the partitions found in the stage and
+    leaves the others alone.
     """
     staged = spark.read.parquet(stage)
+    if spread is None:
+        most = staged.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        spread = max(1, -(-most // ROWS_PER_FILE))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in staged.columns if c not in keys]), F.lit(spread))
     (
         staged.repartition(*keys, salt)

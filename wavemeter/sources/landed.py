@@ -39,6 +39,45 @@ def read_facts(
     return facts.where((F.col(ts) >= ts_lit(start)) & (F.col(ts) < ts_lit(end)))
 
 
+# How a partition of a stored table names its time.
+PARTITION = "bucket_day"
+LABELS = {"day": "%Y%m%d", "hour": "%Y%m%d%H", "minute": "%Y%m%d%H%M"}
+
+
+def partition_label(moment: datetime, grain: str) -> str:
+    """Name of the partition that holds a time; a letter in front keeps the names text."""
+    return moment.strftime(f"t{LABELS[grain]}")
+
+
+def read_interval(
+    spark: SparkSession, path: str, start: datetime, end: datetime, grain: str,
+    schema: T.StructType | None = None, ts: str = "__time",
+) -> DataFrame:
+    """Rows of ``[start, end)`` of a table partitioned by time.
+
+    The bounds become a predicate on the partitions, so other folders are not opened, and one
+    on the time itself, which reaches the scan. With ``schema`` no footer is read to plan.
+    """
+    reader = spark.read.schema(schema.add(PARTITION, "string")) if schema else spark.read
+    last = end - timedelta(microseconds=1)
+    label = F.col(PARTITION)
+    inside = (F.col(ts) >= ts_lit(start)) & (F.col(ts) < ts_lit(end))
+    return (
+        reader.parquet(path)
+        .where((label >= partition_label(start, grain)) & (label <= partition_label(last, grain)))
+        .where(inside)
+        .drop(PARTITION)
+    )
+
+
+def read_buckets(
+    spark: SparkSession, path: str, hours: Sequence[datetime], grain: str
+) -> DataFrame:
+    """Rows of the partitions that hold the given times, and of no other."""
+    names = sorted({partition_label(h, grain) for h in hours})
+    return spark.read.parquet(path).where(F.col(PARTITION).isin(*names)).drop(PARTITION)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Same-schema parts as one frame."""
     first, *rest = frames
@@ -47,12 +86,26 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+MALFORMED = "__malformed"
+
+
 def decode(messages: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
-    """Message columns plus ``record``: the decoded struct, null for malformed text."""
-    readable = F.try_parse_json(text)
-    return messages.withColumn(
-        "record", F.when(readable.isNotNull(), F.from_json(text, schema))
+    """Message columns plus ``record``: the decoded struct, null for malformed text.
+
+    One pass over the text tells both: text that is no JSON object of this shape lands in a
+    field of its own.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    parsed = F.from_json(
+        text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
     )
+    return messages.withColumn("__parsed", parsed).withColumn(
+        "record",
+        F.when(
+            F.col("__parsed").isNotNull() & F.col(f"__parsed.{MALFORMED}").isNull(),
+            F.struct(*[F.col(f"__parsed.{f.name}").alias(f.name) for f in schema.fields]),
+        ),
+    ).drop("__parsed")
 
 
 def split_malformed(

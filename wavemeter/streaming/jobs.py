@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +29,12 @@ def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType, format_: str = "parquet",
-    options: Mapping[str, str] | None = None,
+    options: Mapping[str, str] | None = None, files_per_batch: int = 1000,
 ) -> DataFrame:
-    return (
-        spark.readStream.schema(schema).format(format_).options(**(options or {})).load(path)
-    )
+    """Files of a folder as they land; a backlog comes in batches of bounded size."""
+    reader = spark.readStream.schema(schema).format(format_)
+    bounded = {"maxFilesPerTrigger": str(files_per_batch), **(options or {})}
+    return reader.options(**bounded).load(path)
 
 
 def drain(
@@ -155,8 +157,11 @@ def split_stream(
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        records, errors = split_malformed(batch, schema, host)
+        # Both tables are written from one read of the batch.
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        records, errors = split_malformed(held, schema, host)
         records.write.mode("overwrite").parquet(f"{good}/batch={number}")
         keyed_json(errors, host).write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        held.unpersist()
 
     drain_batches(messages, handle, checkpoint)
