@@ -80,6 +80,16 @@ def zero() -> Column:
     return F.lit(0).cast("long")
 
 
+# Most numbers (8 bytes each) of a list that is broadcast.
+SHORT_LIST = 1_000_000
+
+
+def short_list(keys: DataFrame) -> DataFrame:
+    """A list of numbers, marked for broadcast if counted to be short. A longer one is
+    joined by shuffle, with the same result."""
+    return F.broadcast(keys) if keys.limit(SHORT_LIST + 1).count() <= SHORT_LIST else keys
+
+
 _shipped: set[str] = set()
 
 

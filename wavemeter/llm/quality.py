@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavemeter.llm.expressions import SPACES, has_word, let, occurrences, text_of, words, zero
+from wavemeter.llm.expressions import SPACE_CLASS, SPACES, has_word, let, occurrences, text_of, words, zero
 
 # Characters that count as symbols, and phrases of page furniture.
 SYMBOLS = "#*$%&|<>"
@@ -91,7 +91,7 @@ def repeated_words(tokens: Column) -> Column:
 
 def line_failure(line: Column, rules: LineRules) -> Column:
     """The first rule that a line with words breaks, or null."""
-    phrases = "(?i)\\b(?:" + "|".join(p.replace(" ", "\\s+") for p in BOILERPLATE) + ")\\b"
+    phrases = "(?i)(?:^|[^A-Za-z0-9_])(?:" + "|".join(BOILERPLATE).replace(" ", SPACE_CLASS) + ")(?:[^A-Za-z0-9_]|$)"
     marks = "[" + re.escape(SYMBOLS + NAVIGATION) + "!?]"
 
     def by_marks(t: Column) -> Column:
