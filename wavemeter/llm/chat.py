@@ -125,10 +125,11 @@ def format_chats(
         F.transform("turns", lambda t, i: F.struct(t["role"].alias("role"), i.alias("place"))),
         F.struct(F.lit(template.first).alias("state"), F.lit(None).cast("int").alias("broken_at")),
         lambda s, t: let(
-            F.try_element_at(moves, F.concat_ws("\0", s["state"], t["role"])),
+            # The empty state is that of a broken order; nothing leads out of it.
+            F.coalesce(F.try_element_at(moves, F.concat_ws("\0", s["state"], t["role"])), F.lit("")),
             lambda to: F.struct(
                 to.alias("state"),
-                F.coalesce(s["broken_at"], F.when(to.isNull(), t["place"])).alias("broken_at"),
+                F.coalesce(s["broken_at"], F.when(to == "", t["place"])).alias("broken_at"),
             ),
         ),
     )

@@ -112,7 +112,7 @@ def mix_sources(
     A leaf's budget buys whole epochs first and then a prefix of the next. The order of an epoch is
     that of the MD5 of (seed, epoch, key); the prefix ends before the first document with tokens
     that would pass the budget. Null level names are the empty name, null tokens 0, null keys the
-    empty key. Repeated rows count each and stand side by side; documents without tokens cost
+    empty key. A kept column takes the place of one of its name. Repeated rows count each and stand side by side; documents without tokens cost
     nothing. An empty table or budget selects nothing. Extra columns are ignored unless kept.
 
     The running sum of a leaf is split over the first three digits of the MD5, so a leaf with a
@@ -162,17 +162,20 @@ def mix_sources(
     epochs = F.when(
         (F.col("_rest") > 0) & (F.col("_ahead") + F.col("_within") <= F.col("_rest")), F.col("_full") + 1
     ).otherwise(F.col("_full"))
+    own = {
+        key: F.col("_key").alias(key),
+        **{n: F.col(i).alias(n) for i, n in zip(inner, names, strict=True)},
+        "epoch": F.col("_epoch").cast("int").alias("epoch"),
+        "n_tokens": F.col("_tokens").alias("n_tokens"),
+        "budget": F.col("budget"),
+    }
     return (
         summed.withColumn("_epochs", epochs.cast("int"))
         .filter("_epochs > 0")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_epochs") - 1)))
+        .withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_epochs") - 1)))
         .select(
-            F.col("_key").alias(key),
-            *(F.col(i).alias(n) for i, n in zip(inner, names, strict=True)),
-            F.col("epoch").cast("int").alias("epoch"),
-            F.col("_tokens").alias("n_tokens"),
-            "budget",
-            *(F.col(f"_c{i}").alias(c) for i, c in enumerate(keep) if c not in (key, *names)),
+            *(column for name, column in own.items() if name not in keep),
+            *(F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)),
         )
     )
 

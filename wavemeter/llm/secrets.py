@@ -37,12 +37,14 @@ KINDS = ("assign", "access", "hex", "random")
 
 @dataclass(frozen=True)
 class Battery:
-    """Shortest token, its bands by length, histogram bins, false discoveries allowed."""
+    """Shortest token, its bands by length, histogram bins, false discoveries allowed, and the
+    chance below which a token is never taken for random."""
 
     shortest: int = 20
     bands: tuple[int, ...] = (20, 24, 32, 40, 48, 64, 96, 128, 256)
     bins: int = 20
     false_share: float = 0.1
+    least_chance: float = 0.001
 
 
 def spans(text: Column, pattern: str, kind: str, passes) -> Column:
@@ -222,7 +224,7 @@ def cuts(texts: DataFrame, text: str, battery: Battery) -> list[float]:
         for start in range(battery.bins):
             accepted = sum(bins[start:])
             if accepted and 1 - random_per_bin * (battery.bins - start) / accepted <= battery.false_share:
-                out[-1] = start / battery.bins
+                out[-1] = max(start / battery.bins, battery.least_chance)
                 break
     return out
 
@@ -309,16 +311,16 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = None, mask:
             lambda s: F.concat(s["out"], F.substr(t, s["at"] + 1, F.length(t))),
         )
 
-    changed = F.size(into) > 0
+    whole = "_llm_text"
+    old = F.col(f"`{text}`")
+    found = found.withColumn(whole, F.when(F.size(into) > 0, cleaned(old, F.col(into))).otherwise(old))
     columns = []
     for name in docs.columns:
         column = F.col(f"`{name}`")
         if name == text:
-            column = F.when(changed, cleaned(column, F.col(into))).otherwise(column)
+            column = F.col(whole)
         elif name == length:
-            column = F.when(
-                changed, F.length(cleaned(F.col(f"`{text}`"), F.col(into))).cast("long")
-            ).otherwise(column)
+            column = F.when(F.size(into) > 0, F.length(whole).cast("long")).otherwise(column)
         columns.append(column.alias(name))
     return found.select(*columns)
 
