@@ -34,7 +34,8 @@ def test_random_tokens_stand_out(spark):
     dull = ["a1" * 20, "1111111111111111111111a", "abcabcabcabcabcabcabc123123", "0000000000000000000000001x"] * 10
     rows = [f"see {t} here" for t in real + dull]
     out = secret_spans(documents(spark, list(enumerate(rows)))).collect()
-    found = {r["doc_id"] for r in out if r["secrets"]}
+    # Some dull ones are long runs of hex digits, which the fixed pattern lists.
+    found = {r["doc_id"] for r in out if any(s["rank"] == 3 for s in r["secrets"])}
     assert len(found & set(range(60))) >= 54
     assert not found & set(range(60, 100))
 
