@@ -15,11 +15,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from wavemeter.llm.expressions import ship_code
 
 # Texts of so many bytes are taken together, one longer text alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 # Encoded words a worker remembers before it forgets those seen once; a matter of speed alone.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 150_000
 # Words that one query encodes; bounds the rows of its rounds.
-WORDS_AT_ONCE = 40_000
+WORDS_AT_ONCE = 25_000
 # Longer words go one by one through the query that merges many places in a round.
 SHORT_WORD = 64
 LONG_ROUNDS = 8
@@ -128,7 +128,7 @@ class Coder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         self.tables: set[str] = set()
         self.known = _Numbered()
         self.ids = np.empty(0, np.int32)

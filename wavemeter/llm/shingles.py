@@ -9,7 +9,7 @@ import xxhash
 
 SIZE = 5
 # Word hashes a worker remembers before it starts afresh; a matter of speed alone.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 250_000
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -77,12 +77,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingles(word_hashes(text)))
 
 
-def in_groups(texts: Iterable, most: int = 1_000_000) -> Iterator[tuple[int, list]]:
-    """(first place, texts) of neighbours with so many characters together, or one longer text."""
+def in_groups(texts: Iterable, most: int = 1_000_000, by: int = 1) -> Iterator[tuple[int, list]]:
+    """(first place, texts) of neighbours with so many characters together, or one longer text;
+    ``by`` neighbours always stay together."""
     start, held, out = 0, 0, []
     for i, text in enumerate(texts):
         text = text.as_py()
-        if out and held + len(text or "") > most:
+        if out and held + len(text or "") > most and len(out) % by == 0:
             yield start, out
             start, held, out = i, 0, []
         held += len(text or "")
