@@ -235,7 +235,8 @@ def secret_spans(docs: DataFrame, text: str = "text", battery: Battery = Battery
     ``rank`` is the place in ``KINDS``; spans go by start, then rank; places are code points, the
     stop exclusive. Base spans always stay; the battery adds tokens that overlap none of them. Null
     and empty texts have none, repeated rows the same ones, an empty table none. The cuts are
-    learnt from all rows in one job before, and two passes read the input.
+    learnt from all rows in one job before, and two passes read the input. Tokens without a digit or
+    without a letter (A-Z, a-z) are never tested, nor counted for the cuts.
     """
     learnt = cuts(docs, text, battery)
 
