@@ -5,10 +5,13 @@ from __future__ import annotations
 from wavemeter.llm.bpe import op5_byte_bpe
 from wavemeter.llm.chat import op1_chat_format
 from wavemeter.llm.jaccard import op8_jaccard_join
+from wavemeter.llm.languages import op11_language_id
 from wavemeter.llm.licences import op9_licence_scan
 from wavemeter.llm.mixing import PRODUCTION, Mix, op10_source_mix
+from wavemeter.llm.negatives import op13_hard_negatives
 from wavemeter.llm.passages import op3_passage_dedup
 from wavemeter.llm.quality import BOILERPLATE, op4_quality_rules
+from wavemeter.llm.runs import op12_periodic_runs
 from wavemeter.llm.secrets import op7_secret_scan
 from wavemeter.llm.shards import op6_byte_shards
 from wavemeter.llm.vectors import op2_vector_dedup
@@ -26,6 +29,9 @@ QUERIES = {
         op8_jaccard_join,
         op9_licence_scan,
         op10_source_mix,
+        op11_language_id,
+        op12_periodic_runs,
+        op13_hard_negatives,
     )
 }
 
@@ -137,6 +143,28 @@ _QUALITY_SQL = rf"""
     from counted
 """
 
+_NEGATIVES_SQL = """
+    with r as (
+        select distinct vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as q
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select a.id as anchor_id, r.id, r.label = a.label as own, list_inner_product(a.q, r.q)::bigint as score
+        from r a, r where a.id % 50 = 0 and a.id <> r.id
+    ), positives as (
+        select anchor_id, id as positive_id, score as positive_score from scored where own
+        qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+    )
+    select anchor_id, positive_id,
+        row_number() over (partition by anchor_id, positive_id order by n.score desc, n.id)::integer as rank,
+        n.id as negative_id, positive_score, n.score as negative_score
+    from positives join scored n using (anchor_id)
+    where not own and 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+    qualify rank <= 3
+"""
+
 ORACLES = {
     # The digests follow from the turns alone: formatting and reading back must change nothing.
     "op1_chat_format": r"""
@@ -176,6 +204,7 @@ ORACLES = {
     """,
     "op4_quality_rules": _QUALITY_SQL,
     "op10_source_mix": _mix_sql(),
+    "op13_hard_negatives": _NEGATIVES_SQL,
 }
 
 
