@@ -109,6 +109,8 @@ class Lists:
             scored[new] = True
             scores = rows[new] @ anchor if width else np.zeros(len(new))
             most = anchor[up] @ values[up, n - stop] + anchor[down] @ values[down, stop - 1] if stop < n else None
+            if anchor.dtype == object:
+                scores, most = np.clip(scores, LEAST, LARGEST), most if most is None else min(max(most, LEAST), LARGEST)
             done = stop == n
             open_windows = 0
             for w, (low, high) in enumerate(windows):
@@ -166,7 +168,7 @@ def _answers(own_label: bool, k: int):
                     continue
                 found = lists.first(quantised(vector[None])[0], allowed, windows, k)
                 out += [
-                    (row, tag, n, int(lists.ids[p]), int(lists.tags[p]), min(max(score, LEAST), LARGEST))
+                    (row, tag, n, int(lists.ids[p]), int(lists.tags[p]), score)
                     for n, hits in enumerate(found)
                     for score, p in hits
                 ]
