@@ -17,6 +17,18 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def partition_filters(df):
+    """Partition filters of the scans, whole; the text of a plan cuts them off."""
+    found, open_nodes = [], [df._jdf.queryExecution().sparkPlan()]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.nodeName().startswith("Scan"):
+            found.append(node.partitionFilters().mkString(" AND "))
+        children = node.children()
+        open_nodes += [children.apply(i) for i in range(children.size())]
+    return "\n".join(found)
+
+
 @pytest.mark.parametrize("name", BATCH)
 def test_no_nested_loops_or_python(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
@@ -68,8 +80,8 @@ def test_stored_reads_open_only_their_partitions(spark, sf):
     start, end = datetime(2024, 1, 8), datetime(2024, 1, 12)
     store_level(spark, metric_view(table(spark, sf, "events")), path, "15m", start, end, sketch=False)
     part = read_interval(spark, path, datetime(2024, 1, 9), datetime(2024, 1, 10), "hour")
-    text = plan(part)
-    assert "t2024010900" in text.split("PartitionFilters", 1)[1] and "t2024010923" in text
+    text = partition_filters(part)
+    assert "t2024010900" in text and "t2024010923" in text
     days = [datetime(2024, 1, 8, 5), datetime(2024, 1, 11, 7)]
-    text = plan(read_buckets(spark, path, days, "hour"))
-    assert "bucket_day#" in text.split("PartitionFilters", 1)[1] and "t2024010805" in text and "t2024011107" in text
+    text = partition_filters(read_buckets(spark, path, days, "hour"))
+    assert "bucket_day#" in text and "t2024010805" in text and "t2024011107" in text

@@ -8,9 +8,10 @@ from wavemeter.session import work_folder
 from wavemeter.sinks.messages import keyed_json, publish
 from wavemeter.sinks.tables import (
     compact,
-    merge_state,
-    read_state,
+    read_table,
+    replace_buckets,
     replace_interval,
+    upsert_table,
 )
 
 
@@ -50,18 +51,94 @@ def test_interval_replace_refuses_what_it_would_lose(spark):
     assert content(spark, path) == before and len(before) == 72
 
 
-def test_state_merge_is_idempotent(spark):
-    path = work_folder(spark, "state")
+def test_upsert_rewrites_only_the_slots_of_changed_keys(spark):
+    path = work_folder(spark, "keyed")
 
     def batch(rows):
         return spark.createDataFrame(rows, "k string, v int")
 
-    merge_state(spark, batch([("a", 1), ("b", 1)]), path, 0, ("k",))
+    def files():
+        return {r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}
+
+    assert read_table(spark, path) is None
+    upsert_table(spark, batch([(f"k{i}", 1) for i in range(50)]), path, ("k",))
+    before = files()
+    for _ in range(2):
+        upsert_table(spark, batch([("k7", 2), ("new", 2)]), path, ("k",))
+    assert len(before - files()) <= 2
+    upsert_table(spark, batch([]), path, ("k",))
+    got = dict(map(tuple, read_table(spark, path).collect()))
+    assert got == {f"k{i}": 1 for i in range(50)} | {"k7": 2, "new": 2}
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("alive_steps", [0, 1, 2, 3])
+def test_a_kill_between_the_steps_of_a_replacement_is_made_good(spark, monkeypatch, alive_steps):
+    from wavemeter.sinks import tables
+
+    path = work_folder(spark, "killed")
+    day = (datetime(2024, 1, 5), datetime(2024, 1, 6))
+    replace_interval(spark, table(spark, 1, 2, 3, 8), path, *day, ("networkGroup",))
+    swap, done = tables._swap, []
+
+    def dying(*args):
+        if len(done) == alive_steps:
+            raise Killed
+        done.append(args)
+        swap(*args)
+
+    changed = table(spark, 1, 2, 5).withColumn("v", F.col("v") + 100)
+    monkeypatch.setattr(tables, "_swap", dying)
+    with pytest.raises(Killed):
+        replace_interval(spark, changed, path, *day, ("networkGroup",))
+    monkeypatch.setattr(tables, "_swap", swap)
+    # The next run is about another hour and still finishes what the journal says.
+    replace_interval(
+        spark, table(spark, 20), path, datetime(2024, 1, 5, 20), datetime(2024, 1, 5, 21), ("networkGroup",)
+    )
+    got = content(spark, path)
+    assert {(h, v) for h, _, v in got} == {(1, 101.0), (2, 102.0), (5, 105.0), (20, 20.0)} and len(got) == 12
+    assert not [n for n in tables._children(spark, path) if n.startswith("_")]
+
+
+def test_a_kill_before_the_journal_changes_nothing(spark, monkeypatch):
+    from wavemeter.sinks import tables
+
+    path = work_folder(spark, "unjournaled")
+    day = (datetime(2024, 1, 5), datetime(2024, 1, 6))
+    replace_interval(spark, table(spark, 1, 2), path, *day, ("networkGroup",))
+    before = content(spark, path)
+    finish, calls = tables.finish_replacement, []
+
+    def dying(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            # As if the journal had been cut off while it was written.
+            for name in tables._children(spark, path):
+                if name.startswith(tables.JOURNAL):
+                    tables._delete(spark, f"{path}/{name}/_SUCCESS")
+            raise Killed
+        finish(*args)
+
+    monkeypatch.setattr(tables, "finish_replacement", dying)
+    with pytest.raises(Killed):
+        replace_interval(spark, table(spark, 2, 9), path, *day, ("networkGroup",))
+    monkeypatch.setattr(tables, "finish_replacement", finish)
+    assert content(spark, path) == before
+    replace_interval(spark, table(spark, 2, 9), path, *day, ("networkGroup",))
+    assert {h for h, _, _ in content(spark, path)} == {2, 9}
+
+
+def test_buckets_are_replaced_wherever_they_lie(spark):
+    path = work_folder(spark, "buckets")
+    replace_buckets(spark, table(spark, 1, 2, 3), path, ("networkGroup",))
+    again = table(spark, 3, 7).withColumn("v", F.lit(0.5))
     for _ in range(2):
-        merge_state(spark, batch([("b", 2), ("c", 2)]), path, 1, ("k",))
-    assert sorted(map(tuple, read_state(spark, path).collect())) == [("a", 1), ("b", 2), ("c", 2)]
-    assert read_state(spark, path, below=1).count() == 2
-    assert read_state(spark, path + "-none") is None
+        replace_buckets(spark, again, path, ("networkGroup",), covered=[datetime(2024, 1, 5, 1), datetime(2024, 1, 5, 3)])
+    assert {(h, v) for h, _, v in content(spark, path)} == {(2, 2.0), (3, 0.5), (7, 0.5)}
 
 
 def test_compaction_keeps_rows_and_replaces_its_partitions(spark):

@@ -1,5 +1,7 @@
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from wavemeter.model import ELEMENT_MESSAGE, METRICS
@@ -7,16 +9,17 @@ from wavemeter.operators.rollup import raw_rows
 from wavemeter.operators.status import element_status
 from wavemeter.plans.fixtures import EVENTS, metric_view, metrics, table
 from wavemeter.session import work_folder
-from wavemeter.sinks.tables import read_state
+from wavemeter.sinks.tables import read_table
+from wavemeter.streaming.elements import track_elements
 from wavemeter.streaming.jobs import (
     closed,
     drain,
+    follow,
     read_files,
     redirect,
     split_stream,
     stream_next_level,
     stream_rollup,
-    track_elements,
 )
 
 KEYS = ("metricId",)
@@ -85,21 +88,128 @@ def messages(spark, rows):
     return spark.createDataFrame(data, ELEMENT_MESSAGE)
 
 
-def test_element_tracking_over_several_batches(spark):
-    source, state, checkpoint = (work_folder(spark, n) for n in ("in", "state", "ck"))
-    batches = [
-        [(datetime(2024, 1, 5, 2), {"dn": "a", "additionalDn": "x", "sourceSystem": "new"})],
-        [(datetime(2024, 1, 5, 1), {"dn": "a", "additionalDn": "x", "sourceSystem": "old"}),
-         (datetime(2024, 1, 5, 1), {"dn": "b", "additionalDn": "x", "sourceSystem": "b"})],
-    ]
-    for rows in batches:
-        land(messages(spark, rows), source)
-        stream = read_files(spark, source, ELEMENT_MESSAGE, options=ONE_FILE)
-        track_elements(spark, stream, state, checkpoint)
-    got = read_state(spark, state)
-    assert {(r["dn"], r["sourceSystem"]) for r in got.collect()} == {("a", "new"), ("b", "b")}
-    whole = element_status(spark.read.schema(ELEMENT_MESSAGE).parquet(source))
-    assert got.exceptAll(whole.select(got.columns)).count() == 0
+def at(hours, ms=0):
+    return datetime(2024, 1, 5) + timedelta(hours=hours, milliseconds=ms)
+
+
+def element(name, source):
+    return {"dn": name, "additionalDn": "x", "sourceSystem": source}
+
+
+class Elements:
+    """Lands messages and runs the job anew, as after a restart."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.source, self.path, self.checkpoint = (work_folder(spark, n) for n in ("in", "elements", "ck"))
+
+    def run(self, *rows):
+        if rows:
+            land(messages(self.spark, rows), self.source)
+        stream = read_files(self.spark, self.source, ELEMENT_MESSAGE, options=ONE_FILE)
+        track_elements(self.spark, stream, self.path, self.checkpoint)
+        return {r["dn"]: (r["sourceSystem"], r["ativo"]) for r in read_table(self.spark, self.path).collect()}
+
+
+def test_elements_end_after_a_day_over_restarts(spark):
+    job = Elements(spark)
+    assert job.run((at(0), element("a", "1")), (at(2), element("b", "1")), (at(3), element("c", "1"))) == {
+        "a": ("1", True), "b": ("1", True), "c": ("1", True),
+    }
+    # 26 hours: a is gone, b is a day old to the millisecond and still counts.
+    assert job.run((at(26), element("c", "2"))) == {"a": ("1", False), "b": ("1", True), "c": ("2", True)}
+    assert job.run((at(26, 1), element("d", "1"))) == {
+        "a": ("1", False), "b": ("1", False), "c": ("2", True), "d": ("1", True),
+    }
+    # An ended element comes back with its next message.
+    got = job.run((at(27), element("a", "3")), (at(26), element("a", "late")))
+    assert got["a"] == ("3", True) and got["b"] == ("1", False)
+    assert job.run() == got
+
+
+def test_older_messages_and_ties_do_not_replace(spark):
+    job = Elements(spark)
+    job.run((at(2), element("a", "new")))
+    assert job.run((at(1), element("a", "old")), (at(1), element("b", "b"))) == {"a": ("new", True), "b": ("b", True)}
+    # Older than the lifetime when it arrives: nothing is known of a live element.
+    assert job.run((at(30), element("b", "b2")), (at(30), element("a", "a2")))["b"] == ("b2", True)
+    assert "z" not in job.run((at(1), element("z", "z")), (None, element("y", "y")))
+
+
+def test_elements_equal_the_batch_status(spark):
+    rows = [(at(i % 20), element(f"e{i % 7}", str(i))) for i in range(60)]
+    job = Elements(spark)
+    for part in (rows[:20], rows[20:45], rows[45:]):
+        job.run(*part)
+    whole = element_status(spark.read.schema(ELEMENT_MESSAGE).parquet(job.source), ("__time", "sourceSystem"))
+    got = read_table(spark, job.path).where("ativo")
+    assert {(r["dn"], r["created_at"]) for r in got.collect()} == {(r["dn"], r["created_at"]) for r in whole.collect()}
+
+
+def test_only_changed_elements_reach_the_table(spark, monkeypatch):
+    from wavemeter.streaming import elements
+
+    written = []
+
+    def counting(spark_, batch, *args):
+        written.append(sorted((r["dn"], r["ativo"]) for r in batch.collect()))
+
+    job = Elements(spark)
+    job.run(*((at(1), element(f"e{i}", "1")) for i in range(5)))
+    monkeypatch.setattr(elements, "upsert_table", counting)
+    job.run((at(2), element("e3", "2")), (at(0), element("e4", "0")))
+    assert [w for w in written if w] == [[("e3", True)]]
+
+
+def test_a_batch_that_fails_in_the_sink_comes_again(spark, monkeypatch):
+    from wavemeter.streaming import elements
+
+    job, upsert_table = Elements(spark), elements.upsert_table
+    job.run((at(1), element("a", "1")))
+
+    def failing(*args):
+        upsert_table(*args)
+        raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(elements, "upsert_table", failing)
+    with pytest.raises(Exception, match="lost after the write"):
+        job.run((at(3), element("a", "2")), (at(3), element("b", "1")))
+    monkeypatch.setattr(elements, "upsert_table", upsert_table)
+    assert job.run() == {"a": ("2", True), "b": ("1", True)}
+
+
+def test_following_stops_in_time_and_goes_on(spark):
+    source, sink, checkpoint = (work_folder(spark, n) for n in ("in", "out", "ck"))
+
+    def handle(batch, number):
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    def run():
+        stream = read_files(spark, source, "value string", options=ONE_FILE)
+        return follow(stream, handle, checkpoint, "0 seconds", 6)
+
+    for n in range(3):
+        land(spark.createDataFrame([(f"{n}-{i}",) for i in range(10)], "value string"), source)
+    first = run()
+    assert first.rows == 30 and first.batches == 3 and first.rate > 0 and 6 <= first.seconds < 60
+    land(spark.createDataFrame([("last",)], "value string"), source)
+    assert run().rows == 1
+    assert spark.read.parquet(sink).select("value").distinct().count() == 31
+
+
+def test_following_finishes_the_batch_under_way(spark):
+    source, checkpoint = (work_folder(spark, n) for n in ("in", "ck"))
+    land(spark.createDataFrame([("x",)], "value string"), source)
+    seen = []
+
+    def slow(batch, number):
+        time.sleep(4)
+        seen.append(batch.count())
+
+    stream = read_files(spark, source, "value string", options=ONE_FILE)
+    taken = follow(stream, slow, checkpoint, "0 seconds", 2)
+    assert seen == [1] and taken.rows == 1
+    assert follow(stream, slow, checkpoint, "0 seconds", 2).rows == 0
 
 
 def test_malformed_messages_go_to_the_error_table_once(spark):

@@ -253,7 +253,7 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return element_status(messages(spark, sf_dir), (TIME, "event_id"))
 
 
-_ELEMENTS_CTE = """WITH e AS (
+ELEMENTS_CTE = """WITH e AS (
     SELECT 'dn-' || user_id AS dn, 'dev-' || (event_id % 10) AS "additionalDn", ts AS created_at,
         'sys-' || event_type AS "sourceSystem", 'CELL' AS "elementType",
         CASE WHEN event_id % 13 = 0 THEN 'não_informado' ELSE 'vn-' || (event_id % 3) END AS "vendorName",
@@ -261,7 +261,7 @@ _ELEMENTS_CTE = """WITH e AS (
         row_number() OVER (PARTITION BY user_id, event_id % 10 ORDER BY ts DESC, event_id DESC) AS rn
     FROM events
 ), s AS (SELECT * EXCLUDE (rn) FROM e WHERE rn = 1)"""
-ELEMENTS_SQL = _ELEMENTS_CTE + " SELECT * FROM s"
+ELEMENTS_SQL = ELEMENTS_CTE + " SELECT * FROM s"
 
 
 def expired(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +270,7 @@ def expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EXPIRED_SQL = _ELEMENTS_CTE + """ SELECT dn, "additionalDn", created_at,
+EXPIRED_SQL = ELEMENTS_CTE + """ SELECT dn, "additionalDn", created_at,
     created_at >= TIMESTAMP '2024-01-29' AS ativo FROM s"""
 
 
@@ -278,7 +278,7 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_elements(elements(spark, sf_dir), datetime(2024, 1, 30))
 
 
-LIVE_SQL = _ELEMENTS_CTE + " SELECT * FROM s WHERE created_at >= TIMESTAMP '2024-01-29'"
+LIVE_SQL = ELEMENTS_CTE + " SELECT * FROM s WHERE created_at >= TIMESTAMP '2024-01-29'"
 
 
 def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:

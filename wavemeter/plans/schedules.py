@@ -32,7 +32,7 @@ from wavemeter.plans.fixtures import (
     r6,
     table,
 )
-from wavemeter.plans.operations import ELEMENTS_SQL
+from wavemeter.plans.operations import ELEMENTS_CTE
 from wavemeter.plans.rollups import group_sql, show_group
 from wavemeter.session import work_folder
 from wavemeter.sinks.messages import keyed_json, keyed_text
@@ -40,11 +40,12 @@ from wavemeter.sinks.tables import (
     append_control,
     compact,
     current_load_status,
-    read_state,
+    read_table,
     replace_interval,
     write_busy_hours,
 )
 from wavemeter.sources.landed import union_all
+from wavemeter.streaming.elements import track_elements
 from wavemeter.streaming.jobs import (
     closed,
     drain,
@@ -53,7 +54,6 @@ from wavemeter.streaming.jobs import (
     split_stream,
     stream_next_level,
     stream_rollup,
-    track_elements,
 )
 
 # ---------------------------------------------------------------- windows of a run
@@ -342,8 +342,13 @@ def stream_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_id % 17 = 0 THEN NULL ELSE concat('192.0.2.', event_id % 8) END AS managerIp",
         "'CELL' AS elementType",
     )
-    track_elements(spark, messages, f"{folder}/state", f"{folder}/checkpoint", (TIME, "event_id"))
-    return read_state(spark, f"{folder}/state")
+    track_elements(spark, messages, f"{folder}/elements", f"{folder}/checkpoint", order=(TIME, "event_id"))
+    return read_table(spark, f"{folder}/elements")
+
+
+# An element ends when its last message is a day older than the latest of all.
+STREAM_ELEMENTS_SQL = ELEMENTS_CTE + """ SELECT *, date_trunc('millisecond', created_at)
+    >= date_trunc('millisecond', max(created_at) OVER ()) - INTERVAL 1 DAY AS ativo FROM s"""
 
 
 def _raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,7 +406,7 @@ QUERIES = {
     "stream_cascade_hourly": Query(
         streamed(("15m", "hourly"), "1 hour"), _stream_sql(60, "INTERVAL 1 HOUR")
     ),
-    "stream_element_status": Query(stream_elements, ELEMENTS_SQL),
+    "stream_element_status": Query(stream_elements, STREAM_ELEMENTS_SQL),
     "stream_dead_letters": Query(stream_errors, STREAM_ERRORS_SQL),
     "stream_redirect": Query(stream_redirect, REDIRECT_SQL),
 }

@@ -1,8 +1,9 @@
-"""Parquet tables: interval replace, keyed state, compaction, control rows."""
+"""Parquet tables: journaled partition replace, keyed upsert, compaction, control rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from wavemeter.operators.status import latest_per_key, upsert
 from wavemeter.sources.landed import PARTITION, partition_label
 
 ROWS_PER_FILE = 4_000_000
+# How the partition of a time is named, as :func:`partition_label` does it.
+_PATTERNS = {"day": "yyyyMMdd", "hour": "yyyyMMddHH", "minute": "yyyyMMddHHmm"}
 
 
 def _folder(spark: SparkSession, path: str):
@@ -26,17 +29,83 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
-def _write_partitions(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
+# Folders of a replacement under way; readers pass over names that begin with an underscore.
+STAGED, JOURNAL = "_staged-", "_journal-"
+
+
+def replace_partitions(
+    spark: SparkSession, df: DataFrame, path: str, column: str, cluster: Sequence[str], covered: Iterable[str] = (),
+) -> None:
+    """Replace the partitions found in ``df``, and empty those of ``covered`` that got no row.
+
+    Rows are first written beside the table, then a journal names every partition to swap or to
+    empty, and only then are folders touched. A run that dies before its journal leaves the
+    table as it was; one that dies later is finished by :func:`finish_replacement`, which every
+    replacement calls first, so each step may happen twice. One writer per table is assumed; a
+    reader that overlaps the swap may have to start again. ``df`` may read the table itself.
+    """
+    finish_replacement(spark, path, column)
+    run = uuid.uuid4().hex
+    staged = f"{path}/{STAGED}{run}"
     # Range partitioning keeps a hot day or group in several files and every file sorted.
     (
-        df.repartitionByRange(F.col(partition), *cluster)
-        .sortWithinPartitions(partition, *cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy(partition)
-        .parquet(path)
+        df.repartitionByRange(F.col(column), *cluster)
+        .sortWithinPartitions(column, *cluster)
+        .write.option("maxRecordsPerFile", ROWS_PER_FILE)
+        .partitionBy(column)
+        .parquet(staged)
     )
+    filled = set(_partitions(spark, staged, column))
+    steps = [(name, True) for name in sorted(filled)] + [(name, False) for name in sorted(set(covered) - filled)]
+    if not steps:
+        _delete(spark, staged)
+        return
+    journal = spark.createDataFrame(steps, "name string, filled boolean")
+    journal.coalesce(1).write.parquet(f"{path}/{JOURNAL}{run}")
+    finish_replacement(spark, path, column)
+
+
+def finish_replacement(spark: SparkSession, path: str, column: str) -> None:
+    """Carry out what journals of a table say, and drop what runs without a journal left."""
+    children = _children(spark, path)
+    for name in children:
+        journal = f"{path}/{name}"
+        if not name.startswith(JOURNAL) or not exists(spark, f"{journal}/_SUCCESS"):
+            continue
+        staged = f"{path}/{STAGED}{name.removeprefix(JOURNAL)}"
+        for step in spark.read.parquet(journal).collect():
+            _swap(spark, staged, path, f"{column}={step['name']}", step["filled"])
+        _delete(spark, staged)
+        _delete(spark, journal)
+    for name in children:
+        if name.startswith((STAGED, JOURNAL)):
+            _delete(spark, f"{path}/{name}")
+
+
+def _swap(spark: SparkSession, staged: str, path: str, partition: str, filled: bool) -> None:
+    """One step of a journal. A staged folder that is gone was moved before."""
+    if not filled:
+        _delete(spark, f"{path}/{partition}")
+    elif exists(spark, f"{staged}/{partition}"):
+        _delete(spark, f"{path}/{partition}")
+        files, source = _folder(spark, f"{staged}/{partition}")
+        if not files.rename(source, _folder(spark, f"{path}/{partition}")[1]):
+            raise OSError(f"cannot move {staged}/{partition}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    files, folder = _folder(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's partitions."""
+    return [name.removeprefix(f"{column}=") for name in _children(spark, path) if name.startswith(f"{column}=")]
 
 
 def replace_interval(
@@ -47,29 +116,67 @@ def replace_interval(
 
     Bounds that are not aligned to the grain are refused, as partitions are replaced whole, and
     a row outside the interval ends the job. Partitions of the interval that get no new row are
-    removed, other partitions stay untouched, and a second run gives the same table.
+    emptied, other partitions stay untouched, a second run gives the same table, and a run that
+    died half-way is finished by the next.
     """
     for bound in (start, end):
         if bound != _floor(bound, grain):
             raise ValueError(f"{bound} is not aligned to a {grain}")
-    label = {"day": "yyyyMMdd", "hour": "yyyyMMddHH", "minute": "yyyyMMddHHmm"}[grain]
     # A fixed prefix keeps the labels text when the table is read back.
     inside = (F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end))
     outside = F.raise_error(
         F.concat(F.lit(f"outside [{start}, {end}): "), F.coalesce(F.col(TIME).cast("string"), F.lit("null")))
     )
     rows = df.withColumn(
-        PARTITION, F.when(inside, F.concat(F.lit("t"), F.date_format(TIME, label))).otherwise(outside)
+        PARTITION, F.when(inside, F.concat(F.lit("t"), F.date_format(TIME, _PATTERNS[grain]))).otherwise(outside)
     )
     first, last = partition_label(start, grain), partition_label(end, grain)
-    before = _partition_files(spark, path, PARTITION, first, last)
-    _write_partitions(rows, path, PARTITION, cluster)
-    after = _partition_files(spark, path, PARTITION, first, last)
-    for name, old in before.items():
-        # Written partitions have new file names; one that still holds its old files got no row.
-        if after.get(name) == old:
-            files, folder = _folder(spark, f"{path}/{PARTITION}={name}")
-            files.delete(folder, True)
+    covered = [name for name in _partitions(spark, path, PARTITION) if first <= name < last]
+    replace_partitions(spark, rows, path, PARTITION, cluster, covered)
+
+
+def replace_buckets(
+    spark: SparkSession, df: DataFrame, path: str, cluster: Sequence[str], grain: str = "minute",
+    covered: Iterable[datetime] = (),
+) -> None:
+    """Replace the buckets found in ``df``, wherever they lie, and empty those of ``covered`` without a row."""
+    rows = df.withColumn(PARTITION, F.concat(F.lit("t"), F.date_format(TIME, _PATTERNS[grain])))
+    names = [partition_label(moment, grain) for moment in covered]
+    replace_partitions(spark, rows, path, PARTITION, cluster, names)
+
+
+# Partition of a key's rows in a keyed table.
+SLOT = "slot"
+
+
+def upsert_table(
+    spark: SparkSession, changes: DataFrame, path: str, keys: Sequence[str], order: Column | None = None,
+    slots: int = 64,
+) -> None:
+    """Insert or replace rows of a keyed table by key; only the slots of changed keys are rewritten.
+
+    Keys are dealt by hash into ``slots`` partitions, a number that stays with the table; choose it so
+    that a slot is some files large. Changes are landed once and then read as often as needed,
+    so an input that may be evaluated only once is fine. The same changes once more have no effect.
+    """
+    finish_replacement(spark, path, SLOT)
+    landed = f"{path}/_changes"
+    slot = F.format_string("s%05d", F.pmod(F.xxhash64(*keys), F.lit(slots)))
+    changes.withColumn(SLOT, slot).write.mode("overwrite").parquet(landed)
+    news = spark.read.parquet(landed)
+    touched = [r[0] for r in news.select(SLOT).distinct().collect()]
+    if not touched:
+        return
+    if set(touched) & set(_partitions(spark, path, SLOT)):
+        held = spark.read.parquet(path).where(F.col(SLOT).isin(*touched)).select(*news.columns)
+    else:
+        held = news.limit(0)
+    replace_partitions(spark, upsert(held, news, keys, order), path, SLOT, keys)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of a keyed table, or None before the first change."""
+    return spark.read.parquet(path).drop(SLOT) if _partitions(spark, path, SLOT) else None
 
 
 def _floor(moment: datetime, grain: str) -> datetime:
@@ -77,22 +184,6 @@ def _floor(moment: datetime, grain: str) -> datetime:
     return moment.replace(second=0, microsecond=0, **smaller)
 
 
-def _partition_files(
-    spark: SparkSession, path: str, column: str, first: str, last: str
-) -> dict[str, set[str]]:
-    """File names of the partitions in ``[first, last)``."""
-    files, folder = _folder(spark, path)
-    if not files.exists(folder):
-        return {}
-    found = {}
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        value = name.removeprefix(f"{column}=")
-        if name != value and first <= value < last:
-            found[value] = {f.getPath().getName() for f in files.listStatus(status.getPath())}
-    return found
-
-
 def write_busy_hours(df: DataFrame, path: str) -> None:
     """Busy-hour rows by (periodicity, date, config); a re-run replaces what it covers."""
     keys = ("periodicity", "data_date", "BH_configuration_id")
@@ -145,39 +236,3 @@ def append_control(df: DataFrame, path: str) -> None:
 def current_load_status(control: DataFrame) -> DataFrame:
     """Status of the last attempt per threshold and KPI."""
     return latest_per_key(control, ("threshold_id", "kpi_id"), ("load_datatime", "status"))
-
-
-def write_state(spark: SparkSession, df: DataFrame, path: str, version: int) -> str:
-    """Write a state snapshot; writing the same version again replaces it."""
-    target = f"{path}/v={version:012d}"
-    replace_table(df, target)
-    return target
-
-
-def read_state(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    """Newest complete snapshot, or the newest one older than version ``below``."""
-    files, folder = _folder(spark, path)
-    if not files.exists(folder):
-        return None
-    versions = sorted(
-        status.getPath().getName()
-        for status in files.listStatus(folder)
-        if exists(spark, f"{path}/{status.getPath().getName()}/_SUCCESS")
-    )
-    if below is not None:
-        versions = [v for v in versions if int(v.split("=")[1]) < below]
-    return spark.read.parquet(f"{path}/{versions[-1]}") if versions else None
-
-
-def merge_state(
-    spark: SparkSession, updates: DataFrame, path: str, version: int, keys: Sequence[str],
-    order: Column | None = None,
-) -> None:
-    """Upsert a batch into the state as snapshot ``version``.
-
-    The batch is applied to the last older snapshot, so a repeated batch has no further
-    effect.
-    """
-    previous = read_state(spark, path, below=version)
-    base = previous if previous is not None else updates.limit(0)
-    write_state(spark, upsert(base, updates, keys, order), path, version)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,9 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wavemeter.model import MEASURES, TIME
 from wavemeter.operators.predicates import with_rate_value
 from wavemeter.operators.rollup import GRAINS
-from wavemeter.operators.status import ELEMENT_KEY, element_status, latest_per_key
 from wavemeter.sinks.messages import keyed_json
-from wavemeter.sinks.tables import read_state, write_state
 from wavemeter.sources.landed import split_malformed
 
 
@@ -39,7 +40,7 @@ def read_files(
 
 def drain(
     stream: DataFrame, sink: str, checkpoint: str, format_: str = "parquet", mode: str = "append"
-) -> None:
+) -> StreamingQuery:
     """Process what is there now, then stop; a later call goes on from the checkpoint."""
     query = (
         stream.writeStream.format(format_)
@@ -50,11 +51,12 @@ def drain(
         .start()
     )
     query.awaitTermination()
+    return query
 
 
 def drain_batches(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
-) -> None:
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
     """As :func:`drain`, handing every micro-batch to ``handle``.
 
     The offset of a batch is committed only after ``handle`` returned, so a failed batch
@@ -63,22 +65,73 @@ def drain_batches(
     query = (
         stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
+        .outputMode(mode)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return query
+
+
+def watermark_of(query: StreamingQuery) -> datetime | None:
+    """Event time up to which a query has closed its state; None before the first row."""
+    progress = query.lastProgress
+    text = ((progress or {}).get("eventTime") or {}).get("watermark")
+    moment = datetime.fromisoformat(text).replace(tzinfo=None) if text else None
+    return moment if moment and moment.year > 1970 else None
+
+
+@dataclass(frozen=True)
+class Consumed:
+    """What a bounded run took in."""
+
+    rows: int
+    seconds: float
+    batches: int
+
+    @property
+    def rate(self) -> float:
+        """Rows a second of wall time."""
+        return self.rows / self.seconds if self.seconds else 0.0
 
 
 def follow(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str
-) -> StreamingQuery:
-    """Run until stopped, one micro-batch per interval."""
-    return (
-        stream.writeStream.foreachBatch(handle)
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str,
+    seconds: float, mode: str = "append",
+) -> Consumed:
+    """Run for at most ``seconds``, one micro-batch per interval, and say what was taken in.
+
+    When the time is up, the batch that is under way is finished before the query stops, so its
+    offsets are committed and the next run begins behind it. An error of the stream is raised here.
+    """
+    taken = {"rows": 0, "batches": 0, "busy": False}
+
+    def counted(batch: DataFrame, number: int) -> None:
+        taken["busy"] = True
+        seen = Observation()
+        handle(batch.observe(seen, F.count(F.lit(1)).alias("rows")), number)
+        taken["rows"] += seen.get["rows"]
+        taken["batches"] += 1
+        taken["busy"] = False
+
+    started = time.monotonic()
+    query = (
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
+        .outputMode(mode)
         .trigger(processingTime=every)
         .start()
     )
+    try:
+        query.awaitTermination(max(0.0, seconds))
+        # A trigger that is active has offsets to commit after its batch.
+        while query.isActive and (taken["busy"] or query.status["isTriggerActive"]):
+            query.awaitTermination(0.05)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+    return Consumed(taken["rows"], time.monotonic() - started, taken["batches"])
 
 
 def _first_level() -> list:
@@ -123,26 +176,6 @@ def closed(rolled: DataFrame) -> DataFrame:
     return rolled.withColumn(TIME, F.col("window.start").cast("timestamp_ntz")).drop("window")
 
 
-def track_elements(
-    spark: SparkSession, messages: DataFrame, state: str, checkpoint: str,
-    order: Sequence[str] = (TIME,),
-) -> None:
-    """Keep the last message per element as versioned snapshots.
-
-    Every micro-batch is reduced to one row per element before it meets the state. Older
-    messages never replace newer ones.
-    """
-
-    def handle(batch: DataFrame, number: int) -> None:
-        newest = element_status(batch, order)
-        previous = read_state(spark, state, below=number)
-        if previous is not None:
-            newest = latest_per_key(previous.unionByName(newest), ELEMENT_KEY, ("created_at",))
-        write_state(spark, newest, state, number)
-
-    drain_batches(messages, handle, checkpoint)
-
-
 def redirect(messages: DataFrame, key: str) -> DataFrame:
     """Messages for another topic under one constant key."""
     return messages.select(F.lit(key).alias("key"), "value")
