@@ -134,10 +134,10 @@ def test_a_kill_before_the_journal_changes_nothing(spark, monkeypatch):
 
 def test_buckets_are_replaced_wherever_they_lie(spark):
     path = work_folder(spark, "buckets")
-    replace_buckets(spark, table(spark, 1, 2, 3), path, ("networkGroup",))
+    replace_buckets(spark, table(spark, 1, 2, 3), path, ("networkGroup",), "day")
     again = table(spark, 3, 7).withColumn("v", F.lit(0.5))
     for _ in range(2):
-        replace_buckets(spark, again, path, ("networkGroup",), covered=[datetime(2024, 1, 5, 1), datetime(2024, 1, 5, 3)])
+        replace_buckets(spark, again, path, ("networkGroup",), "day", covered=[datetime(2024, 1, 5, 1), datetime(2024, 1, 5, 3)])
     assert {(h, v) for h, _, v in content(spark, path)} == {(2, 2.0), (3, 0.5), (7, 0.5)}
 
 

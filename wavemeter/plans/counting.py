@@ -18,7 +18,9 @@ from wavemeter.operators.counters import (
     counter_multilevel,
     high_water_mark,
 )
+from wavemeter.operators.incremental import advance_mark, publish_run, published, read_mark, run_incremental
 from wavemeter.plans.fixtures import COUNTERS_SQL, Query, counters, r6, table
+from wavemeter.session import work_folder
 
 COLUMNS = (
     TIME, "beginTime", "endTime", *KEYS, "name", "code", "reportInterval", "granularityInterval",
@@ -99,6 +101,42 @@ def _incremental_sql() -> str:
     )
 
 
+# A run that dies after publishing stands between two that end well.
+RUN_TIMES = (datetime(2024, 1, 12, 3, 20), datetime(2024, 1, 16, 0, 10), NOW)
+DEAD_RUN = datetime(2024, 1, 15, 11, 1)
+JOB = "second_to_15_minute"
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    rows = base_samples(counters(spark, sf_dir), 1, "SYS-C")
+    specs, folder = TEMPLATES[JOB], work_folder(spark, "incremental")
+    out, marks = f"{folder}/out", f"{folder}/marks"
+    advance_mark(spark, marks, JOB, MARK, MARK)
+    run_incremental(spark, rows, specs, out, marks, JOB, RUN_TIMES[0])
+    publish_run(spark, rows, specs, out, read_mark(spark, marks, JOB), DEAD_RUN)
+    for now in RUN_TIMES[1:]:
+        run_incremental(spark, rows, specs, out, marks, JOB, now)
+    return out, marks
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that several runs published, one of them twice."""
+    out, _ = _stored_runs(spark, sf_dir)
+    return published(spark, out).select(*COLUMNS, r6("value"))
+
+
+def stored_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark that these runs left, as it is stored."""
+    _, marks = _stored_runs(spark, sf_dir)
+    return spark.read.parquet(marks).select(F.col("job").cast("string").alias("job"), "mark", "run_ts")
+
+
+STORED_MARK_SQL = f"""WITH {COUNTERS_SQL}
+SELECT '{JOB}' AS job, strftime(max(time_bucket(INTERVAL 15 MINUTE, __time)) + INTERVAL 15 MINUTE,
+    '%Y-%m-%dT%H:%M:%SZ') AS mark, TIMESTAMP '{NOW}' AS run_ts
+FROM c WHERE __time >= TIMESTAMP '2024-01-10 07:15:00' AND __time < TIMESTAMP '2024-01-20 13:00:00'"""
+
+
 def mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest time among texts in several layouts, epoch milliseconds and unreadable ones."""
     text = (
@@ -128,5 +166,7 @@ QUERIES = {
     ),
     "counter_multilevel_15m": Query(multilevel, MULTILEVEL_SQL),
     "counter_incremental_15m": Query(incremental, _incremental_sql()),
+    "counter_incremental_runs": Query(incremental_runs, _incremental_sql()),
+    "counter_mark_stored": Query(stored_mark, STORED_MARK_SQL),
     "high_water_mark": Query(mark, MARK_SQL),
 }

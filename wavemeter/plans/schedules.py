@@ -46,6 +46,7 @@ from wavemeter.sinks.tables import (
 )
 from wavemeter.sources.landed import union_all
 from wavemeter.streaming.elements import track_elements
+from wavemeter.streaming.late import StreamedLevel, count_arrivals, late_ledger, rerun_late, roll_up
 from wavemeter.streaming.jobs import (
     closed,
     drain,
@@ -333,6 +334,54 @@ FROM v WHERE reportInterval = 300 AND time_bucket(INTERVAL {minutes} MINUTE, __t
 GROUP BY ALL"""
 
 
+# Every seventh event lands after all others, up to a month late.
+LATE_EVENT = "event_id % 7 = 3"
+
+
+def _late_job(spark: SparkSession, sf_dir: str):
+    """A level streamed in two waves, the second of which is late, and its ledger."""
+    folder = work_folder(spark, "stream-late")
+    job = StreamedLevel(folder, "15m", STREAM_KEYS, "1 hour", "day")
+    events = table(spark, sf_dir, "events")
+    for wave in (f"NOT ({LATE_EVENT})", LATE_EVENT):
+        events.where(wave).write.mode("append").parquet(f"{folder}/landed")
+        facts = metric_view(read_files(spark, f"{folder}/landed", EVENTS))
+        count_arrivals(facts, job)
+        watermark = roll_up(spark, facts, job)
+    return job, late_ledger(spark, job, watermark), metric_view(events)
+
+
+def late_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets with rows that came behind the watermark."""
+    return _late_job(spark, sf_dir)[1]
+
+
+def late_made_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The level after the listed buckets were rebuilt; nothing is late any more."""
+    job, ledger, facts = _late_job(spark, sf_dir)
+    rerun_late(spark, facts, job, ledger)
+    return spark.read.parquet(job.level).select(
+        TIME, *STREAM_KEYS, "count", r6("sum_value"), r6("max_value"), r6("min_value")
+    )
+
+
+LATE_LEDGER_SQL = f"""WITH {VALUED_SQL}, e AS (
+    SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS b, {LATE_EVENT} AS second_wave, ts
+    FROM events WHERE event_id % 8 <> 7 AND (CASE WHEN user_id % 2 = 0
+        AND (CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 4 END) <> 0
+        THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / (event_id % 4)
+        WHEN event_id % 50 = 0 THEN NULL ELSE value END) IS NOT NULL
+), w AS (
+    SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS last_mark,
+        date_trunc('millisecond', max(ts) FILTER (NOT second_wave)) - INTERVAL 1 HOUR AS first_mark FROM e
+), x AS (
+    SELECT b AS __time, count(*) AS arrived,
+        count(*) FILTER (second_wave AND b + INTERVAL 15 MINUTE <= first_mark) AS late
+    FROM e, w WHERE b + INTERVAL 15 MINUTE <= last_mark GROUP BY b
+)
+SELECT __time, arrived, arrived - late AS rolled, late FROM x WHERE late > 0"""
+
+
 def stream_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "stream-elements")
     messages = _event_stream(spark, sf_dir).selectExpr(
@@ -406,6 +455,8 @@ QUERIES = {
     "stream_cascade_hourly": Query(
         streamed(("15m", "hourly"), "1 hour"), _stream_sql(60, "INTERVAL 1 HOUR")
     ),
+    "stream_late_ledger": Query(late_listed, LATE_LEDGER_SQL),
+    "stream_late_rerun_15m": Query(late_made_good, _stream_sql(15, "INTERVAL 1 HOUR")),
     "stream_element_status": Query(stream_elements, STREAM_ELEMENTS_SQL),
     "stream_dead_letters": Query(stream_errors, STREAM_ERRORS_SQL),
     "stream_redirect": Query(stream_redirect, REDIRECT_SQL),

@@ -55,7 +55,7 @@ def replace_partitions(
         .partitionBy(column)
         .parquet(staged)
     )
-    filled = set(_partitions(spark, staged, column))
+    filled = set(partition_values(spark, staged, column))
     steps = [(name, True) for name in sorted(filled)] + [(name, False) for name in sorted(set(covered) - filled)]
     if not steps:
         _delete(spark, staged)
@@ -103,7 +103,7 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
 
-def _partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a table's partitions."""
     return [name.removeprefix(f"{column}=") for name in _children(spark, path) if name.startswith(f"{column}=")]
 
@@ -131,18 +131,33 @@ def replace_interval(
         PARTITION, F.when(inside, F.concat(F.lit("t"), F.date_format(TIME, _PATTERNS[grain]))).otherwise(outside)
     )
     first, last = partition_label(start, grain), partition_label(end, grain)
-    covered = [name for name in _partitions(spark, path, PARTITION) if first <= name < last]
+    covered = [name for name in partition_values(spark, path, PARTITION) if first <= name < last]
     replace_partitions(spark, rows, path, PARTITION, cluster, covered)
 
 
 def replace_buckets(
-    spark: SparkSession, df: DataFrame, path: str, cluster: Sequence[str], grain: str = "minute",
-    covered: Iterable[datetime] = (),
+    spark: SparkSession, df: DataFrame, path: str, cluster: Sequence[str], grain: str = "hour",
+    covered: Sequence[datetime] = (),
 ) -> None:
-    """Replace the buckets found in ``df``, wherever they lie, and empty those of ``covered`` without a row."""
-    rows = df.withColumn(PARTITION, F.concat(F.lit("t"), F.date_format(TIME, _PATTERNS[grain])))
-    names = [partition_label(moment, grain) for moment in covered]
-    replace_partitions(spark, rows, path, PARTITION, cluster, names)
+    """Replace the buckets (values of ``__time``) found in ``df``, and empty those of ``covered`` without a row.
+
+    Only the partitions that hold these buckets are rewritten; their other buckets stay. Rows
+    are landed once and then read as often as needed, so an input that may be evaluated only
+    once is fine. The same rows once more have no effect.
+    """
+    finish_replacement(spark, path, PARTITION)
+    label = F.concat(F.lit("t"), F.date_format(TIME, _PATTERNS[grain]))
+    df.withColumn(PARTITION, label).write.mode("overwrite").parquet(f"{path}/_changes")
+    news = spark.read.parquet(f"{path}/_changes")
+    listed = spark.createDataFrame([(moment,) for moment in covered], f"{TIME} timestamp_ntz")
+    buckets = news.select(TIME).unionByName(listed).distinct()
+    touched = {r[0] for r in news.select(PARTITION).distinct().collect()}
+    touched |= {partition_label(moment, grain) for moment in covered}
+    rows, there = news, sorted(touched & set(partition_values(spark, path, PARTITION)))
+    if there:
+        held = spark.read.parquet(path).where(F.col(PARTITION).isin(*there)).join(buckets, TIME, "left_anti")
+        rows = held.select(*news.columns).unionByName(news)
+    replace_partitions(spark, rows, path, PARTITION, cluster, touched)
 
 
 # Partition of a key's rows in a keyed table.
@@ -167,7 +182,7 @@ def upsert_table(
     touched = [r[0] for r in news.select(SLOT).distinct().collect()]
     if not touched:
         return
-    if set(touched) & set(_partitions(spark, path, SLOT)):
+    if set(touched) & set(partition_values(spark, path, SLOT)):
         held = spark.read.parquet(path).where(F.col(SLOT).isin(*touched)).select(*news.columns)
     else:
         held = news.limit(0)
@@ -176,7 +191,7 @@ def upsert_table(
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows of a keyed table, or None before the first change."""
-    return spark.read.parquet(path).drop(SLOT) if _partitions(spark, path, SLOT) else None
+    return spark.read.parquet(path).drop(SLOT) if partition_values(spark, path, SLOT) else None
 
 
 def _floor(moment: datetime, grain: str) -> datetime:

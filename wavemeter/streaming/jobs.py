@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wavemeter.model import MEASURES, TIME
-from wavemeter.operators.predicates import with_rate_value
-from wavemeter.operators.rollup import GRAINS
+from wavemeter.operators.rollup import GRAINS, raw_rows
 from wavemeter.sinks.messages import keyed_json
 from wavemeter.sources.landed import split_malformed
 
@@ -149,14 +148,14 @@ def stream_rollup(
     ``delay`` is how late facts may come. The result keeps the ``window`` column, so that
     the next level can be chained.
     """
-    rows = with_rate_value(facts.where(F.col("reportInterval") == GRAINS[grain].raw_cadence))
     # Watermarks need a zoned timestamp; the session zone is UTC.
-    return (
-        rows.withColumn(TIME, F.col(TIME).cast("timestamp"))
-        .withWatermark(TIME, delay)
-        .groupBy(F.window(TIME, f"{GRAINS[grain].minutes} minutes"), *keys)
-        .agg(*_first_level())
-    )
+    rows = raw_rows(facts, grain).withColumn(TIME, F.col(TIME).cast("timestamp"))
+    return first_level(rows.withWatermark(TIME, delay), grain, keys)
+
+
+def first_level(rows: DataFrame, grain: str, keys: Sequence[str]) -> DataFrame:
+    """Level-1 roll-up of raw rows per ``window`` and key, streamed or not."""
+    return rows.groupBy(F.window(TIME, f"{GRAINS[grain].minutes} minutes"), *keys).agg(*_first_level())
 
 
 def stream_next_level(rolled: DataFrame, grain: str, keys: Sequence[str]) -> DataFrame:
