@@ -23,7 +23,7 @@ def test_hot_groups_are_exact(spark):
     for p in (0.0, 0.5, 0.9, 0.999, 1.0):
         got = {
             r["k"]: r["q"]
-            for r in exact_percentile(df, ["k"], "v", p, "q", hot_rows=500, splits=8).collect()
+            for r in exact_percentile(df, ["k"], "v", p, "q", ranges=8).collect()
         }
         for key, values in groups.items():
             assert got[key] == pytest.approx(np.percentile(values, p * 100), abs=1e-9)
@@ -31,19 +31,47 @@ def test_hot_groups_are_exact(spark):
 
 @settings(max_examples=8, deadline=None)
 @given(
-    values=st.lists(st.integers(-50, 50), min_size=1, max_size=60),
+    values=st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=60),
     p=st.sampled_from([0.0, 0.25, 0.5, 0.95, 1.0]),
+    ranges=st.sampled_from([1, 2, 4096]),
 )
-def test_both_ways_agree(spark, values, p):
+def test_any_number_of_ranges_gives_the_same(spark, values, p, ranges):
     df = spark.createDataFrame([("k", float(v)) for v in values], "k string, v double")
-    small = exact_percentile(df, ["k"], "v", p, "q").first()["q"]
-    large = exact_percentile(df, ["k"], "v", p, "q", hot_rows=0, splits=4).first()["q"]
-    expected = np.percentile(values, p * 100)
-    assert small == pytest.approx(expected) and large == pytest.approx(expected)
-
-
-@pytest.mark.parametrize("hot_rows", [0, 30, 100_000])
-def test_named_functions(spark, hot_rows):
+    got = exact_percentile(df, ["k"], "v", p, "q", ranges=ranges).first()["q"]
+    assert got == pytest.approx(np.percentile(values, p * 100), rel=1e-9, abs=1e-300)
+
+
+def test_values_hard_to_tell_apart(spark):
+    """Clusters of near values, sizes from tiny to huge, and infinities."""
+    rng = np.random.default_rng(8)
+    near = np.concatenate([1e9 + rng.normal(size=500) * 1e-6, -3.0 + rng.normal(size=500) * 1e-12])
+    wide = np.concatenate([10.0 ** rng.uniform(-300, 300, 400), -(10.0 ** rng.uniform(-300, 300, 300))])
+    ends = np.array([-np.inf] * 9 + [float(i) for i in range(20)] + [np.inf] * 9)
+    groups = {"near": near, "wide": wide, "ends": ends, "one": np.array([7.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
+    for p in (0.1, 0.5, 0.77):
+        got = {r["k"]: r["q"] for r in exact_percentile(df, ["k"], "v", p, "q", ranges=16).collect()}
+        for key, values in groups.items():
+            want = -np.inf if (key, p) == ("ends", 0.1) else np.percentile(values, p * 100)
+            assert got[key] == pytest.approx(want, rel=1e-12), (key, p)
+
+
+def test_percentile_plan_has_no_step_before_it(spark, monkeypatch):
+    """Building the plan runs no job and writes nothing; the distinct values are shuffled once."""
+    df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id AS double) AS v")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    out = exact_percentile(df, ["k"], "v", 0.5, "q")
+    out._jdf.queryExecution().executedPlan()
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    out.collect()
+    text = out._jdf.queryExecution().executedPlan().toString()
+    final = text.split("Initial Plan")[0]
+    assert final.count("Scan ExistingRDD") + final.count("Range (0, 1000") == 1
+
+
+def test_named_functions(spark):
     rng = np.random.default_rng(5)
     names = ["SUM", "avg", "MAX", "MIN", "COUNT", "PERCENTILE", "UNKNOWN"]
     data = {n: rng.normal(size=20 + 10 * i) for i, n in enumerate(names)}
@@ -51,7 +79,7 @@ def test_named_functions(spark, hot_rows):
     df = spark.createDataFrame(rows, "k string, f string, p double, v double")
     got = {
         r["k"]: r["out"]
-        for r in aggregate_by_name(df, ["k"], "f", "p", "v", "out", hot_rows=hot_rows).collect()
+        for r in aggregate_by_name(df, ["k"], "f", "p", "v", "out").collect()
     }
     expected = {
         "SUM": np.sum, "avg": np.mean, "MAX": np.max, "MIN": np.min, "COUNT": len,

@@ -1,4 +1,4 @@
-"""Quantiles: mergeable KLL sketches and an exact percentile that survives hot groups."""
+"""Quantiles: mergeable KLL sketches and an exact percentile for groups of any size."""
 
 from __future__ import annotations
 
@@ -8,14 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavemeter.operators.joins import join_null_safe
-from wavemeter.session import work_folder
 
 # A sketch of this size keeps about the precision of a 1024-value reservoir.
 SKETCH_K = 1024
 
-# Largest group that is gathered into one array (800 kB of doubles).
-HOT_ROWS = 100_000
+# Ranges for every e-fold of a value: neighbours in a range differ by some hundred thousandths.
+RANGES = 65_536
 
 
 def value_sketch(value: str | Column) -> Column:
@@ -30,111 +28,65 @@ def sketch_quantile(sketch: str | Column, rank: float) -> Column:
     return F.kll_sketch_get_quantile_double(sketch, F.lit(rank))
 
 
-def interpolate_sorted(values: Column, p: Column) -> Column:
-    """Linear interpolation at fraction ``p`` of a sorted, non-empty array."""
-    pos = (F.size(values) - 1) * p
-    low = F.element_at(values, (F.floor(pos) + 1).cast("int"))
-    high = F.element_at(values, (F.ceil(pos) + 1).cast("int"))
-    return low + (high - low) * (pos - F.floor(pos))
-
-
 def exact_percentile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: Column | float,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    splits: int = 64,
+    df: DataFrame, keys: Sequence[str], value: str, p: Column | float, out: str, ranges: int = RANGES
 ) -> DataFrame:
     """``(keys, out)`` with the exact interpolated percentile of ``value`` per group.
 
-    ``p`` may be a column that is constant within a group. Groups of at most ``hot_rows``
-    rows are sorted inside one array; larger ones go through :func:`hot_percentile`. A count
-    per group comes first to tell them apart.
+    ``p`` may be a column that is constant within a group. Nulls are left out.
     """
-    keys = list(keys)
     fraction = p if isinstance(p, Column) else F.lit(float(p))
     rows = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("__v"), fraction.cast("double").alias("__p")
     )
-    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
-    if not any_above(sizes, "__n", hot_rows):
-        return _small_groups(rows, keys, out)
-    hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys)
-    small = join_null_safe(rows, hot_keys, keys, "left_anti")
-    large = join_null_safe(rows, hot_keys, keys, "left_semi")
-    return _small_groups(small, keys, out).unionByName(hot_percentile(large, keys, out, splits))
-
-
-def any_above(sizes: DataFrame, count: str, limit: int) -> bool:
-    """Whether the largest count exceeds the limit; one number reaches the driver."""
-    return (sizes.agg(F.max(count)).first()[0] or 0) > limit
-
-
-def _small_groups(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    grouped = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list("__v")).alias("__a"), F.max("__p").alias("__p")
-    )
-    return grouped.select(*keys, interpolate_sorted(F.col("__a"), F.col("__p")).alias(out))
+    weighted = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w"), F.max("__p").alias("__p"))
+    return weighted_percentile(weighted, keys, out, ranges)
 
 
-def hot_percentile(
-    rows: DataFrame, keys: Sequence[str], out: str, splits: int = 64
+def weighted_percentile(
+    weighted: DataFrame, keys: Sequence[str], out: str, ranges: int = RANGES
 ) -> DataFrame:
-    """Exact percentile of groups of any size; rows have ``__v`` and ``__p``.
+    """As :func:`exact_percentile`, of distinct values ``__v`` with their rows ``__w`` and fraction ``__p``.
 
-    No group meets in one task: its distinct values are counted, split by approximate
-    quantiles into ``splits`` ranges, and only the range that holds the wanted rank is
-    ordered. The approximate cuts decide the balance, never the answer.
+    One plan serves groups of any size, and nothing is counted beforehand. A histogram by ranges
+    of value brackets the wanted ranks; only what lies in their one or two ranges is put in
+    order. The ranges follow from the values alone, so retries find the same ones; they decide how much
+    is left to order, never the answer. A hot group is spread by its values until it is a histogram.
     """
-    keys = list(keys)
-    weighted = rows.groupBy(*keys, "__v").agg(
-        F.count(F.lit(1)).alias("__w"), F.max("__p").alias("__p")
+    # One struct in place of many keys keeps the plan small; null fields of a struct are equal.
+    ranged = weighted.select(
+        F.struct(*keys).alias("__k"), "__v", "__w", "__p", _range(F.col("__v"), ranges).alias("__range")
     )
-    cuts = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    # The cuts depend on the order in which partial digests meet. They are written down once,
-    # a row per hot group, so that every use and every retry sees the same ranges.
-    folder = work_folder(rows.sparkSession, "cuts")
-    rows.groupBy(*keys).agg(
-        F.percentile_approx("__v", cuts, 1000).alias("__cuts"), F.count("__v").alias("__n")
-    ).write.parquet(folder)
-    bounds = rows.sparkSession.read.parquet(folder)
-    pos = (F.col("__n") - 1) * F.col("__p")
-    ranged = join_null_safe(weighted, bounds, keys).select(
-        *keys,
-        "__v",
-        "__w",
-        F.floor(pos).alias("__lo"),
-        F.ceil(pos).alias("__hi"),
-        pos.alias("__pos"),
-        F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__range"),
-    )
-    by_range = ranged.groupBy(*keys, "__range").agg(
-        F.sum("__w").alias("__rows"), F.max("__lo").alias("__lo"), F.max("__hi").alias("__hi")
-    )
-    running = F.sum("__rows").over(W.partitionBy(*keys).orderBy("__range"))
-    wanted = (
-        by_range.withColumn("__before", running - F.col("__rows"))
-        .where(
-            (F.col("__before") <= F.col("__hi"))
-            & (F.col("__before") + F.col("__rows") > F.col("__lo"))
-        )
-        .select(*keys, "__range", "__before")
-    )
-    inside = F.sum("__w").over(W.partitionBy(*keys, "__range").orderBy("__v"))
-    placed = (
-        join_null_safe(ranged, wanted, [*keys, "__range"])
-        .withColumn("__last", F.col("__before") + inside - 1)
-        .withColumn("__first", F.col("__last") - F.col("__w") + 1)
+    counts = ranged.groupBy("__k", "__range").agg(F.sum("__w").alias("__rows"), F.max("__p").alias("__q"))
+    group = W.partitionBy("__k")
+    pos = (F.sum("__rows").over(group) - 1) * F.col("__q")
+    start = F.sum("__rows").over(group.orderBy("__range")) - F.col("__rows")
+    kept = (
+        counts.withColumns({"__pos": pos, "__start": start})
+        .where((F.col("__start") <= F.ceil("__pos")) & (F.col("__start") + F.col("__rows") > F.floor("__pos")))
+        .select("__k", "__range", "__start", "__pos")
     )
+    # Every column of the distinct values is used here as well, so that their shuffle is written once.
+    inside = ranged.where("__p IS NOT NULL").join(kept, ["__k", "__range"])
+    upto = F.sum("__w").over(W.partitionBy("__k", "__range").orderBy("__v"))
+    placed = inside.withColumn("__last", F.col("__start") + upto - 1)
 
-    def at(rank: str) -> Column:
-        held = (F.col("__first") <= F.col(rank)) & (F.col("__last") >= F.col(rank))
+    def at(rank: Column) -> Column:
+        held = (F.col("__last") - F.col("__w") < rank) & (F.col("__last") >= rank)
         return F.max(F.when(held, F.col("__v")))
 
-    ends = placed.groupBy(*keys).agg(
-        at("__lo").alias("__a"), at("__hi").alias("__b"), F.max("__pos").alias("__pos")
+    ends = placed.groupBy("__k").agg(
+        at(F.floor("__pos")).alias("__low"), at(F.ceil("__pos")).alias("__high"), F.max("__pos").alias("__pos")
     )
-    part = F.col("__pos") - F.floor("__pos")
-    return ends.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * part).alias(out))
+    low, high = F.col("__low"), F.col("__high")
+    between = low + (high - low) * (F.col("__pos") - F.floor("__pos"))
+    return ends.select("__k.*", F.when(low == high, low).otherwise(between).alias(out))
+
+
+def _range(value: Column, ranges: int) -> Column:
+    """Number of a value's range: never falls where the value rises, and tells values of all sizes apart.
+
+    It is never null, so that a join on it adds no filter to one reader of the values only.
+    """
+    scale = F.signum(value) * F.log1p(F.abs(value) * float(2**20))
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(F.coalesce(F.floor(scale * ranges), F.lit(0)))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavemeter.functions.quantiles import HOT_ROWS, any_above, hot_percentile, interpolate_sorted
-from wavemeter.operators.joins import join_null_safe
+from wavemeter.functions.quantiles import weighted_percentile
 
 PLAIN = ("SUM", "AVG", "MAX", "MIN", "COUNT")
 PERCENTILE = "PERCENTILE"
@@ -23,82 +22,61 @@ def aggregate_by_name(
     out: str,
     rate: tuple[str, str, str] | None = None,
     functions: Collection[str] | None = None,
-    extra: Mapping[str, Column] | None = None,
-    hot_rows: int = HOT_ROWS,
-    any_hot: bool | None = None,
+    sums: Collection[str] = (),
 ) -> DataFrame:
-    """``(keys, records, out, extra)``; every group uses the function named in its rows.
+    """``(keys, records, out, sums)``; every group uses the function named in its rows.
 
-    One combinable aggregation answers all groups. Groups that ask for a percentile also
-    gather their values, unless they hold more than ``hot_rows`` rows: those are answered
-    apart, by ranges of values, so that no task gathers an unbounded group. ``functions``
-    names the functions that occur; without ``PERCENTILE`` among them rows are read once,
-    otherwise a count of the percentile groups comes first, unless the caller says by
-    ``any_hot`` whether there are groups above the limit.
+    One combinable aggregation answers all groups. Groups that ask for a percentile keep their
+    distinct values apart in it; these are answered in the same plan by ranges of values, so that no
+    task gathers a group. ``functions`` names the functions that occur; without ``PERCENTILE``
+    among them the plan has one shuffle.
 
     ``function`` and ``percentile`` (0 to 100) are constant within a group. ``rate`` names
     the flag, numerator and denominator: sums and averages of a rate are the ratio of the
-    summed parts, and the plain result where that has no value.
+    summed parts, and the plain result where that has no value. ``sums`` are columns to add up.
     """
-    keys, extra = list(keys), dict(extra or {})
+    keys = list(keys)
     named = rows.where(F.col(value).isNotNull()).withColumn("__f", F.upper(F.col(function)))
     known = named.where(F.col("__f").isin(*PLAIN, PERCENTILE))
-    parts = [
-        F.sum(value).alias("SUM"),
-        F.avg(value).alias("AVG"),
-        F.max(value).alias("MAX"),
-        F.min(value).alias("MIN"),
-        F.count(value).alias("records"),
-        *[c.alias(n) for n, c in extra.items()],
-    ]
+    flag, num, den = rate or (None, None, None)
+    added = {"__sum": value, **{c: c for c in sums}} | ({"__num": num, "__den": den} if rate else {})
+    first = [
+        F.count(value).alias("records"), F.max(value).alias("__max"), F.min(value).alias("__min"),
+        *[F.sum(c).alias(n) for n, c in added.items()],
+    ]
+    merged = [
+        F.sum("records").alias("records"), F.max("__max").alias("__max"), F.min("__min").alias("__min"),
+        *[F.sum(n).alias(n) for n in added],
+    ]
     if rate:
-        flag, num, den = rate
-        parts += [F.max(flag).alias("__rate"), F.sum(num).alias("__num"), F.sum(den).alias("__den")]
-    choice = F.coalesce(
-        *[F.when(F.col("__f") == f, F.col(f)) for f in PLAIN if f != "COUNT"],
-        F.when(F.col("__f") == "COUNT", F.col("records").cast("double")),
-    )
+        first.append(F.max(flag).alias("__rate"))
+        merged.append(F.max("__rate").alias("__rate"))
+    by_name = {
+        "SUM": F.col("__sum"), "AVG": F.col("__sum") / F.col("records"), "MAX": F.col("__max"),
+        "MIN": F.col("__min"), "COUNT": F.col("records").cast("double"),
+    }
+    choice = F.coalesce(*[F.when(F.col("__f") == f, by_name[f]) for f in PLAIN])
     if rate:
         ratio = F.when(
             F.col("__rate") & F.col("__f").isin("SUM", "AVG") & (F.col("__den") != 0),
             F.col("__num") / F.col("__den"),
         )
         choice = F.coalesce(ratio, choice)
-    shown = [*keys, "records", choice.alias(out), *extra]
     if functions is not None and PERCENTILE not in functions:
-        return known.groupBy(*keys, "__f").agg(*parts).select(*shown)
+        return known.groupBy(*keys, "__f").agg(*first).select(*keys, "records", choice.alias(out), *sums)
 
-    ranked = known.where(F.col("__f") == PERCENTILE)
-    sizes = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    if any_hot is None:
-        any_hot = any_above(sizes, "__n", hot_rows)
-    gathered = F.when(F.col("__f") == PERCENTILE, F.col(value).cast("double"))
-    if any_hot:
-        hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
-        marked = join_null_safe(known, hot_keys, keys, "left")
-        is_hot = F.col("__hot") & (F.col("__f") == PERCENTILE)
-        known = marked.withColumn("__hot", F.coalesce(is_hot, F.lit(False)))
-        gathered = F.when(~F.col("__hot"), gathered)
-    lists = [
-        F.sort_array(F.collect_list(gathered)).alias("__values"),
-        F.max(F.col(percentile) / 100.0).alias("__p"),
-    ]
-    totals = known.groupBy(*keys, "__f").agg(*parts, *lists)
-    by_rank = F.when(
-        (F.col("__f") == PERCENTILE) & (F.size("__values") > 0),
-        interpolate_sorted(F.col("__values"), F.col("__p")),
-    )
-    shown[len(keys) + 1] = F.coalesce(by_rank, choice).alias(out)
-    result = totals.select(*shown)
-    if not any_hot:
-        return result
-    large = known.where("__hot").select(
-        *keys, F.col(value).cast("double").alias("__v"), (F.col(percentile) / 100.0).alias("__p")
+    asked = F.col("__f") == PERCENTILE
+    base = known.withColumns(
+        {"__v": F.when(asked, F.col(value).cast("double")), "__p": F.when(asked, F.col(percentile) / 100.0)}
+    ).groupBy(*keys, "__f", "__v").agg(*first, F.max("__p").alias("__p"))
+    # True of every row, as values are never null. It names all columns and can not be moved below the
+    # aggregation, so that all readers of ``base`` share one shuffle instead of pruned ones of their own.
+    named_all = F.concat_ws("", *[F.col(c).cast("string") for c in base.columns])
+    base = base.where(F.col("__max").isNotNull() | (named_all == ""))
+    totals = base.groupBy(*keys, "__f").agg(*merged)
+    values = base.where("__p IS NOT NULL").select(*keys, "__v", F.col("records").alias("__w"), "__p")
+    exact = weighted_percentile(values, keys, "__exact")
+    exact = exact.select(F.struct(*keys).alias("__k"), "__exact")
+    return totals.withColumn("__k", F.struct(*keys)).join(exact, "__k", "left").select(
+        *keys, "records", F.coalesce("__exact", choice).alias(out), *sums
     )
-    exact = hot_percentile(large, keys, "__exact").select(*keys, "__exact")
-    return (
-        join_null_safe(result, exact, keys, "left")
-        .withColumn(out, F.coalesce("__exact", out))
-        .drop("__exact")
-    )
-

@@ -14,7 +14,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavemeter.functions.quantiles import HOT_ROWS
 from wavemeter.functions.scalars import clean_dn, spatial_dn
 from wavemeter.functions.timeutil import (
     day_numbers,
@@ -36,7 +35,7 @@ from wavemeter.functions.timeutil import (
     zone_offset_minutes,
 )
 from wavemeter.model import TIME
-from wavemeter.operators.chosen import PERCENTILE, aggregate_by_name
+from wavemeter.operators.chosen import aggregate_by_name
 from wavemeter.operators.joins import BROADCAST_ROWS, broadcast_if_small
 from wavemeter.operators.predicates import any_shared, rate_value
 
@@ -298,14 +297,11 @@ def evaluate_temporal(
     in_time, in_space = known.time_functions, known.spatial_functions
     scope = temporal_scope(metrics, cfg, grain, start, end, known)
     rows = with_slices(_valued(_in_options(scope)))
-    hot_time, hot_space = (
-        _hot_slices(rows) if PERCENTILE in in_time | in_space else (False, False)
-    )
     carried = ("level", "spatial_function", "spatial_percentile", "kpi_rate", "percentage")
     keys = [*THRESHOLD, *WINDOW, *carried, "slice", *ELEMENT]
     elements = aggregate_by_name(
         rows, keys, "time_function", "time_percentile", "value", "metric0", _RATE,
-        functions=in_time, any_hot=None if hot_time else False,
+        functions=in_time,
     ).withColumnRenamed("records", "facts")
     alone = F.col("spatial_function").isNull()
     grouped = elements.withColumns(
@@ -319,8 +315,8 @@ def evaluate_temporal(
         grouped,
         [*THRESHOLD, *WINDOW, "alone", "level", "slice", "kpi_rate", "percentage", *ELEMENT],
         "spatial_function", "spatial_percentile", "metric0", "result",
-        functions=in_space, any_hot=hot_space,
-        extra={"facts": F.sum("facts")},
+        functions=in_space,
+        sums=("facts",),
     )
     return _percent(result, "result").select(
         *THRESHOLD, *WINDOW,
@@ -331,21 +327,6 @@ def evaluate_temporal(
     )
 
 
-def _hot_slices(rows: DataFrame) -> tuple[bool, bool]:
-    """Whether any slice holds more facts, and more elements, than one array may gather.
-
-    One pass answers for both steps, so the elements need not be built to be counted. A
-    slice without too many facts has no element with too many either. The element count is
-    approximate and therefore compared with a lower limit.
-    """
-    slices = rows.groupBy(*THRESHOLD, *WINDOW, "slice").agg(
-        F.count(F.lit(1)).alias("facts"),
-        F.approx_count_distinct(F.struct(*ELEMENT)).alias("elements"),
-    )
-    most = slices.agg(F.max("facts"), F.max("elements")).first()
-    return (most[0] or 0) > HOT_ROWS, (most[1] or 0) > HOT_ROWS * 0.7
-
-
 def evaluate_temporal_run(
     metrics: DataFrame, cfg: DataFrame, grain: str, run_ts: datetime
 ) -> DataFrame:
