@@ -107,3 +107,25 @@ def test_settings_of_one_node_stay_apart(spark, facts, config):
     cfg = config().unionByName(config(node_name="m", aggregationFunction="MAX")).unionByName(config())
     out = busy_hours(df, cfg, datetime(2024, 1, 22, 4), "WEEKLY_BUSY_HOUR").collect()
     assert sorted((r["BH_configuration_name"], r["BH_value"]) for r in out) == [("m", 7.0), ("n", 12.0)]
+
+
+def test_settings_too_large_to_broadcast_give_the_same(spark, facts, config, monkeypatch):
+    from wavemeter.operators import busyhour
+
+    df = facts([(f"2024-01-{8 + i % 5:02} {i % 24:02}:05:00", {"value": float(i % 7), "dn": f"dn-{i % 3}"}) for i in range(90)])
+    twice = config().unionByName(config()).unionByName(config(node_name="other", aggregationFunction="MAX"))
+
+    def rows():
+        out = busy_hours(df, twice, RUN, "WEEKLY_BUSY_HOUR")
+        return sorted(map(str, out.select("BH_configuration_name", "dn", "BH_level", "BH_hour", "BH_value").collect()))
+
+    small = rows()
+    monkeypatch.setattr(busyhour, "BROADCAST_BYTES", 0)
+    # Settings that agree in everything are one.
+    assert rows() == small and len(small) == 2 * 3 * 3
+
+
+def test_few_settings_are_read_once(spark, facts, config):
+    df = facts([("2024-01-08 10:05:00", {})])
+    text = busy_hours(df, config(), RUN, "WEEKLY_BUSY_HOUR")._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" not in text and text.count("LocalTableScan") + text.count("Scan ExistingRDD") >= 2

@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from wavemeter.operators.quality import completeness, damaged_days, reconcile, repair
+from wavemeter.operators.quality import completeness, damaged_days, reconcile, reconcile_content, repair
 from wavemeter.operators.recompute import due_after, recompute
 from wavemeter.operators.rollup import rollup_temporal
 from wavemeter.plans.fixtures import metrics
@@ -87,3 +87,36 @@ def test_silent_scope_is_partial(spark):
     now = spark.createDataFrame([("k1", "m", "PT300S", "DAY", 10), ("k3", "m", "PT300S", "DAY", 1)], schema)
     out = {r["kpi_id"]: (r["records"], r["status"]) for r in completeness(now, history, 95).collect()}
     assert out == {"k1": (10, "LOAD"), "k2": (0, "PARTIAL"), None: (0, "PARTIAL"), "k3": (1, "LOAD")}
+
+
+def test_content_differences_with_equal_counts_are_seen(spark, sf):
+    facts = metrics(spark, sf)
+    build = lambda df: rollup_temporal(df, "15m", sketch=False)
+    assert reconcile_content(facts, build(facts), "15m").count() == 0
+    day = F.dayofmonth("__time")
+    changed = facts.withColumns({
+        "value": F.when(day == 9, F.col("value") * 2 + 1).otherwise(F.col("value")),
+        "metricId": F.when(day == 12, F.lit("other")).otherwise(F.col("metricId")),
+    }).where(day != 15)
+    found = reconcile_content(facts, build(changed), "15m").collect()
+    assert {(r["what"], r["__time"].day) for r in found} == {("measures", 9), ("identity", 12), ("rows", 15)}
+    assert all((r["raw_count"] == r["rolled_count"]) == (r["what"] != "rows") for r in found)
+    assert {r["__time"].day for r in reconcile(facts, build(changed), "15m").collect()} == {15}
+
+
+def test_repair_opens_only_its_interval(spark, sf):
+    from datetime import timedelta
+
+    from wavemeter.operators.stored import cascade, repair_stored
+    from wavemeter.session import work_folder
+
+    folder = work_folder(spark, "repair")
+    paths = {g: f"{folder}/{g}" for g in ("15m", "hourly", "daily")}
+    facts, days = metrics(spark, sf), [datetime(2024, 1, d) for d in range(8, 12)]
+    cascade(spark, facts.withColumn("dn", F.when(F.dayofmonth("__time") == 10, "x").otherwise(F.col("dn"))), paths, days, sketch=False)
+    # The damage lies outside the first interval and inside the second.
+    assert repair_stored(spark, facts, paths, days[0] + timedelta(hours=3), days[1], sketch=False) == []
+    start = days[2] + timedelta(hours=3)
+    assert repair_stored(spark, facts, paths, start, start + timedelta(hours=12), sketch=False) == [days[2]]
+    daily = spark.read.parquet(paths["daily"]).where("__time = timestamp_ntz'2024-01-10'")
+    assert daily.where("dn = 'x'").select("dn").distinct().count() <= 1 and daily.where("dn <> 'x'").count() > 0

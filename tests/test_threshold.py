@@ -179,3 +179,74 @@ def test_messages_are_keyed_by_element_and_threshold(facts, config):
     message = record_messages(alarm_records(result, spans, cfg, 3600, "PT3600S", DAY[1])).first()
     assert message["key"] == "a,b+t"
     assert '"aggregation":"temporal"' in message["value"] and '"technology":null' in message["value"]
+
+
+def limited(groups=(), dns=()):
+    return {"id_ngInclusion": list(groups), "equipmentInclusion": list(dns)}
+
+
+@pytest.mark.parametrize("largest", [None, 0])
+def test_limits_are_equal_keys_of_the_join(spark, facts, config, monkeypatch, largest):
+    """The index of elements and groups gives what list predicates would, broadcast or not."""
+    from wavemeter.operators import threshold
+
+    if largest is not None:
+        monkeypatch.setattr(threshold, "BROADCAST_BYTES", largest)
+    t = "2024-01-05 10:01:00"
+    elements = [("dn-0", ["g-1"]), ("dn-1", ["g-1", "g-2", "g-2"]), ("dn-2", ["g-3", None]), ("dn-3", None), ("dn-4", []), (None, ["g-2"])]
+    rows = facts([(t, {"dn": dn, "networkGroups": groups}) for dn, groups in elements])
+    limits = {
+        "all": limited(), "one": limited(dns=["dn-1", "dn-1"]), "null-dn": limited(dns=[None]),
+        "groups": limited(groups=["g-2", "g-1"]), "none": limited(groups=["g-9"]),
+        "both": limited(groups=["g-3"], dns=["dn-1", "dn-2"]), "null-lists": {"id_ngInclusion": None, "equipmentInclusion": None},
+    }
+    cfg = config(*({"node_id": n, **limit} for n, limit in limits.items()))
+    scope = spatial_scope(rows, cfg, 5, *DAY)
+    got = {(r["node_id"], r["dn"]) for r in scope.collect()}
+
+    def applies(limit, dn, groups):
+        wanted, only = limit["id_ngInclusion"] or [], limit["equipmentInclusion"] or []
+        return (not wanted or bool(set(wanted) & set(groups or []))) and (not only or (dn is not None and dn in only))
+
+    want = {(n, dn) for n, limit in limits.items() for dn, groups in elements if applies(limit, dn, groups)}
+    assert got == want and scope.count() == len(want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = spatial_scope(rows, cfg, 5, *DAY)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in text) == (largest is None) and "array_contains(only_dn" not in text
+
+
+def test_many_thresholds_with_long_element_lists(spark, config, monkeypatch):
+    """Each of many thresholds names many elements: the join has equal keys and no fixed row limit."""
+    from wavemeter.operators import threshold
+    from wavemeter.plans.fixtures import metrics
+
+    facts = metrics(spark, "/root/testdata/sf0.001")
+    dns = sorted(r[0] for r in facts.select("dn").distinct().collect())
+    cfg = config(*(
+        {"node_id": f"t{i}", "kpi_id": "view", "managedObject_id": f"mo-{i % 3}", **limited(dns=[*dns[i % 7 :: 3], *(f"x{i}-{n}" for n in range(1000))])}
+        for i in range(150)
+    ))
+    known = threshold.config_facts(cfg, 5)
+    assert known.index_bytes > 150 * 1000 * 64 and known.kinds == {"dn"}
+    span = (datetime(2024, 1, 1), datetime(2024, 2, 1))
+    small = spatial_scope(facts, cfg, 5, *span)
+    monkeypatch.setattr(threshold, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def counts(df):
+        return sorted(map(tuple, df.groupBy("node_id", "dn").count().collect()))
+
+    try:
+        large = spatial_scope(facts, cfg, 5, *span)
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        by_shuffle = counts(large)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    listed = [(f"t{i}", dn) for i in range(150) for dn in dns[i % 7 :: 3]]
+    plain = facts.where("metricId = 'view' AND granularityInterval = 'PT300S'").groupBy("dn", "managedObjectId").count().collect()
+    want = sorted((t, r["dn"], r["count"]) for t, dn in listed for r in plain if r["dn"] == dn and r["managedObjectId"] == f"mo-{int(t[1:]) % 3}")
+    assert counts(small) == by_shuffle == want and want

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wavemeter.functions.timeutil import (
     day_numbers,
@@ -28,7 +29,7 @@ from wavemeter.functions.timeutil import (
 )
 from wavemeter.model import TIME
 from wavemeter.operators.chosen import aggregate_by_name
-from wavemeter.operators.joins import BROADCAST_ROWS
+from wavemeter.operators.joins import BROADCAST_BYTES, row_bytes
 
 # Period names and the calendar grain they cover.
 PERIODS = {
@@ -62,10 +63,6 @@ def busy_hour_scope(cfg: DataFrame, run_ts: datetime, period: str) -> DataFrame:
         .withColumn("days", day_numbers(named_days))
         .withColumn("hours", hour_numbers(F.col("effective_hours")))
         .withColumn("granularityInterval", period_tag(F.col("defaultTimeGranularity")))
-        # Every setting is evaluated alone, also where two name the same node and KPI; settings
-        # that agree in everything are one.
-        .withColumn("setting", F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in cfg.columns]))))
-        .dropDuplicates(["setting"])
     )
     if period == "DAILY_BUSY_HOUR":
         scoped = scoped.where(special | on_days(F.col("window_start"), F.col("days")))
@@ -82,15 +79,28 @@ class ScopeFacts:
     end: datetime | None
 
 
-def scope_facts(scope: DataFrame) -> ScopeFacts:
-    """One small job over the configs."""
+def known_scope(scope: DataFrame) -> tuple[DataFrame, ScopeFacts]:
+    """The settings with a ``setting`` each of its own, and what is known of them.
+
+    Every setting is evaluated alone, also where two name the same node and KPI; settings that agree in
+    everything are one. One small job measures them. Those that may be broadcast are then read
+    once and become literal rows, numbered; others are named by a 256-bit digest.
+    """
+    columns = scope.columns
     found = scope.agg(
-        F.count(F.lit(1)),
+        F.sum(row_bytes(*columns)),
         F.collect_set(F.upper("aggregationFunction")),
         F.min("window_start"),
         F.max("window_end"),
     ).first()
-    return ScopeFacts(found[0] <= BROADCAST_ROWS, frozenset(found[1]), found[2], found[3])
+    facts = ScopeFacts((found[0] or 0) <= BROADCAST_BYTES, frozenset(found[1]), found[2], found[3])
+    if not facts.broadcastable:
+        text = F.to_json(F.struct(*columns))
+        return scope.withColumn("setting", F.unhex(F.sha2(text, 256))).dropDuplicates(["setting"]), facts
+    once = {repr(row): row for row in scope.collect()}
+    rows = [(n, *once[text]) for n, text in enumerate(sorted(once))]
+    kind = T.StructType([T.StructField("setting", T.IntegerType()), *scope.schema.fields])
+    return scope.sparkSession.createDataFrame(rows, kind), facts
 
 
 def _in_scope(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFrame:
@@ -126,7 +136,7 @@ def _in_scope(metrics: DataFrame, scope: DataFrame, known: ScopeFacts) -> DataFr
 
 def scope_counts(metrics: DataFrame, scope: DataFrame) -> DataFrame:
     """Rows with a value per config and device."""
-    return _in_scope(metrics, scope, scope_facts(scope)).groupBy("node_id", "node_name", "additionalDn").agg(
+    return _in_scope(metrics, *known_scope(scope)).groupBy("node_id", "node_name", "additionalDn").agg(
         F.count("value").alias("conteo")
     )
 
@@ -157,8 +167,7 @@ def busy_hours(
     With ``distinct_days`` a weekly or monthly period ranks the best hour of every day, so
     no two levels share a day.
     """
-    scope = busy_hour_scope(cfg, run_ts, period)
-    known = scope_facts(scope)
+    scope, known = known_scope(busy_hour_scope(cfg, run_ts, period))
     hours = hourly_values(metrics, scope, known)
     order = [F.desc("metric"), F.asc("hour"), F.asc_nulls_first("category")]
     if distinct_days and period != "DAILY_BUSY_HOUR":

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavemeter.functions.quantiles import exact_percentile
 from wavemeter.functions.timeutil import business_day, ts_lit
-from wavemeter.model import TIME
+from wavemeter.model import DIMENSIONS, MEASURES, TIME
 from wavemeter.operators.joins import join_null_safe
 from wavemeter.operators.predicates import usable_rate_row
 from wavemeter.operators.recompute import known_buckets, rows_of_buckets
@@ -45,6 +46,62 @@ def reconcile(
     )
 
 
+# Sums may differ by the order in which doubles were added up.
+SUM_TOLERANCE = 1e-9
+# What a roll-up sets anew does not identify its facts.
+IDENTITY = tuple(c for c in DIMENSIONS if c not in ("reportInterval", "granularityInterval"))
+
+
+def _fingerprint(count: Column | str, part: Callable[[str, str], Column]) -> list[Column]:
+    """Additive marks of a bucket: rows, rows weighted by a hash of their identity, and the measures."""
+    rows = F.lit(1) if isinstance(count, Column) else F.col(count)
+    marks = F.xxhash64(*IDENTITY).cast("decimal(38,0)") * rows
+    return [
+        F.sum(rows).alias("rows"),
+        F.sum(marks.cast("decimal(38,0)")).alias("identity"),
+        *[F.sum(part("sum", m)).alias(f"sum_{m}") for m in MEASURES],
+        *[F.max(part("max", m)).alias(f"max_{m}") for m in MEASURES],
+        *[F.min(part("min", m)).alias(f"min_{m}") for m in MEASURES],
+    ]
+
+
+def reconcile_content(raw: DataFrame, rolled: DataFrame, grain: str) -> DataFrame:
+    """Buckets whose roll-up does not hold what its raw facts say, also where the counts agree.
+
+    ``what`` is ``rows`` (counts differ), ``identity`` (other elements or metrics) or ``measures``
+    (other values). Both sides reduce to one row per bucket before the join, by marks that add up
+    in any order, so neither side is sorted and a hot bucket combines where it is read.
+    """
+    of_raw = raw_rows(raw, grain).groupBy(bucket(grain).alias(TIME)).agg(
+        *_fingerprint(F.lit(1), lambda _, m: F.col(m))
+    )
+    of_rolled = rolled.groupBy(TIME).agg(*_fingerprint("count", lambda f, m: F.col(f"{f}_{m}")))
+    a, b = of_raw.alias("a"), of_rolled.alias("b")
+
+    def differ(column: str) -> Column:
+        return ~F.col(f"a.{column}").eqNullSafe(F.col(f"b.{column}"))
+
+    def far(column: str) -> Column:
+        x, y = F.col(f"a.{column}"), F.col(f"b.{column}")
+        size = F.greatest(F.abs(x), F.abs(y), F.lit(1.0))
+        return F.coalesce(F.abs(x - y) > size * SUM_TOLERANCE, x.isNull() != y.isNull())
+
+    ends = [differ(f"{f}_{m}") for f in ("max", "min") for m in MEASURES]
+    measures = reduce(lambda x, y: x | y, [far(f"sum_{m}") for m in MEASURES] + ends)
+    what = (
+        F.when(differ("rows"), F.lit("rows"))
+        .when(differ("identity"), F.lit("identity"))
+        .when(measures, F.lit("measures"))
+    )
+    joined = a.join(b, F.col(f"a.{TIME}") == F.col(f"b.{TIME}"), "full_outer")
+    return joined.select(
+        F.coalesce(f"a.{TIME}", f"b.{TIME}").alias(TIME),
+        F.coalesce("a.rows", F.lit(0)).alias("raw_count"),
+        F.coalesce("b.rows", F.lit(0)).alias("rolled_count"),
+        what.alias("what"),
+    ).where("what IS NOT NULL")
+
+
 def _level1(cadence: int) -> str:
     return next(g for g, spec in GRAINS.items() if spec.raw_cadence == cadence)
 

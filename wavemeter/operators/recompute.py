@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from wavemeter.functions.timeutil import rollup_interval, ts_lit
 from wavemeter.model import TIME
-from wavemeter.operators.joins import BROADCAST_ROWS
 from wavemeter.operators.rollup import GRAINS, bucket, rollup_group, rollup_temporal
 
 # Days back a load repeats its bucket, for sources that deliver late.
@@ -52,7 +51,11 @@ def due_after(buckets: DataFrame, grain: str, next_grain: str, ts: str = TIME) -
     )
 
 
-def known_buckets(buckets: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+# Bucket times (8 bytes each) that become literal rows of a plan.
+LITERAL_BUCKETS = 20_000
+
+
+def known_buckets(buckets: DataFrame, limit: int = LITERAL_BUCKETS) -> DataFrame:
     """Distinct buckets, evaluated once and broadcast as literal rows when there are few.
 
     More than ``limit`` buckets stay a plan of their own and join by shuffle.

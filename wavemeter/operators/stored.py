@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemeter.model import TIME
-from wavemeter.operators.quality import damaged_days, reconcile
+from wavemeter.operators.quality import damaged_days, reconcile_content
 from wavemeter.operators.rollup import rollup_group, rollup_temporal
 from wavemeter.sinks.tables import replace_interval
 from wavemeter.sources.landed import read_interval
@@ -79,13 +79,17 @@ def _runs(days: list[datetime]) -> list[tuple[datetime, datetime]]:
 
 
 def repair_stored(
-    spark: SparkSession, facts: DataFrame, paths: dict[str, str], sketch: bool = True
+    spark: SparkSession, facts: DataFrame, paths: dict[str, str], start: datetime, end: datetime,
+    sketch: bool = True,
 ) -> list[datetime]:
-    """Compare the 15-minute level with the facts and rebuild every day that differs, up to the day.
+    """Compare the 15-minute level of ``[start, end)`` with the facts and rebuild the days that differ.
 
-    Returns the days rebuilt. Both sides are counted per bucket before they meet.
+    Returns the business days rebuilt, up to the daily level. Only the partitions of the interval are
+    opened, on both sides; they are compared by content, so facts that were swapped or changed are
+    found as well as lost ones. The days are those of a short interval, a list of its length.
     """
-    kept = spark.read.parquet(paths["15m"])
-    days = [r["day"] for r in damaged_days(reconcile(facts, kept, "15m")).collect()]
+    rows = facts.where((F.col(TIME) >= F.lit(start)) & (F.col(TIME) < F.lit(end)))
+    kept = read_interval(spark, paths["15m"], start, end, PARTITIONS["15m"])
+    days = [r["day"] for r in damaged_days(reconcile_content(rows, kept, "15m")).collect()]
     cascade(spark, facts, paths, days, sketch)
     return sorted(days)

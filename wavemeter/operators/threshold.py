@@ -36,7 +36,7 @@ from wavemeter.functions.timeutil import (
 )
 from wavemeter.model import TIME
 from wavemeter.operators.chosen import aggregate_by_name
-from wavemeter.operators.joins import BROADCAST_ROWS, broadcast_if_small
+from wavemeter.operators.joins import BROADCAST_BYTES, ROW_BYTES, broadcast_if_small, row_bytes
 from wavemeter.operators.predicates import any_shared, rate_value
 
 ELEMENT = ("dn", "additionalDn", "elementType", "vendorId", "equipmentId", "locationId")
@@ -145,26 +145,40 @@ def prepared(cfg: DataFrame, *extra: str) -> DataFrame:
 class ConfigFacts:
     """What an evaluation has to know about its config before it builds the plan."""
 
-    rows: int
+    index_bytes: int
+    back_bytes: int
+    kinds: frozenset[str]
     time_functions: frozenset[str]
     spatial_functions: frozenset[str]
     furthest_minutes: int
 
     @property
     def broadcastable(self) -> bool:
-        return self.rows <= BROADCAST_ROWS
+        """Whether the index of the config may be broadcast."""
+        return self.index_bytes <= BROADCAST_BYTES
+
+    @property
+    def backs_broadcastable(self) -> bool:
+        """Whether one row per config row and look-back may be broadcast."""
+        return self.back_bytes <= BROADCAST_BYTES
 
 
 def config_facts(cfg: DataFrame, minutes: int | None = None) -> ConfigFacts:
     """One small job over the config; ``minutes`` adds the look-backs of a spatial run."""
-    furthest = F.lit(0) if minutes is None else F.array_max(look_backs(minutes))
-    found = cfg.agg(
-        F.count(F.lit(1)),
-        F.collect_set(time_function()),
-        F.collect_set(spatial_function()),
-        F.max(furthest),
+    backs = F.array(F.lit(0)) if minutes is None else look_backs(minutes)
+    ready = prepared(cfg.withColumn("__backs", backs), "__backs")
+    payload = [c for c in ready.columns if c not in ("only_dn", "__backs")]
+    found = ready.agg(
+        F.sum(F.size(spots()) * row_bytes(*payload)),
+        F.sum(F.size("__backs") * 4 * ROW_BYTES),
+        F.collect_set(scope_kind()),
+        F.collect_set("time_function"),
+        F.collect_set("spatial_function"),
+        F.max(F.array_max("__backs")),
     ).first()
-    return ConfigFacts(found[0], frozenset(found[1]), frozenset(found[2]), found[3] or 0)
+    return ConfigFacts(
+        found[0] or 0, found[1] or 0, frozenset(found[2]), frozenset(found[3]), frozenset(found[4]), found[5] or 0
+    )
 
 
 def _facts(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -174,23 +188,75 @@ def _facts(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
     )
 
 
-def scoped(facts: DataFrame, cfg: DataFrame, broadcastable: bool) -> DataFrame:
+# How a threshold is limited: to elements, else to groups, else not at all.
+BY_DN, BY_GROUP, EVERYWHERE = "dn", "group", "any"
+
+
+def scope_kind() -> Column:
+    """The limit of a config row that its index is made of."""
+    return (
+        F.when(F.coalesce(F.size("only_dn") > 0, F.lit(False)), F.lit(BY_DN))
+        .when(F.coalesce(F.size("groups") > 0, F.lit(False)), F.lit(BY_GROUP))
+        .otherwise(F.lit(EVERYWHERE))
+    )
+
+
+def _named(kind: str, names: Column) -> Column:
+    return F.transform(F.array_distinct(F.array_compact(names)), lambda n: F.concat(F.lit(f"{kind}:"), n))
+
+
+def spots() -> Column:
+    """Where a config row applies: one entry per element or group it is limited to, or one for all."""
+    kind = scope_kind()
+    return (
+        F.when(kind == BY_DN, _named(BY_DN, F.col("only_dn")))
+        .when(kind == BY_GROUP, _named(BY_GROUP, F.col("groups")))
+        .otherwise(F.array(F.lit(EVERYWHERE)))
+    )
+
+
+def _fact_spots(kinds: frozenset[str]) -> Column:
+    """Entries of the index a fact can meet, of the kinds the config has."""
+    parts = [F.array(F.lit(EVERYWHERE))] if EVERYWHERE in kinds else []
+    if BY_DN in kinds:
+        parts.append(_named(BY_DN, F.array("dn")))
+    if BY_GROUP in kinds:
+        parts.append(F.coalesce(_named(BY_GROUP, F.col("networkGroups")), F.array().cast("array<string>")))
+    return F.concat(*parts)
+
+
+def scoped(facts: DataFrame, cfg: DataFrame, known: ConfigFacts) -> DataFrame:
     """Facts in the scope of each threshold: KPI, object, granularity, groups and elements.
 
-    The config is broadcast when its counted rows allow, and joins by shuffle otherwise.
+    The config is an index with a row per element or group a threshold is limited to, so every
+    limit is an equal key of the join, however long the lists are. The index is broadcast when its
+    bytes allow, and joins by shuffle otherwise.
     """
+    index = cfg.withColumns({"__kind": scope_kind(), "__spot": F.explode(spots())}).drop("only_dn")
+    met = facts
+    spot = F.lit(EVERYWHERE)
+    if known.kinds - {EVERYWHERE}:
+        met = facts.withColumn("__at", F.explode(_fact_spots(known.kinds)))
+        spot = F.col("__at")
     on = (
-        (facts["metricId"] == cfg["kpi_id"])
-        & (facts["managedObjectId"] == cfg["managedObject_id"])
-        & (facts["granularityInterval"] == cfg["tag"])
-    )
-    unlimited = F.coalesce(F.size("groups") == 0, F.lit(True))
-    any_dn = F.coalesce(F.size("only_dn") == 0, F.lit(True))
-    side = F.broadcast(cfg) if broadcastable else cfg
-    return facts.join(side, on, "inner").where(
-        (unlimited | any_shared(F.col("networkGroups"), F.col("groups")))
-        & (any_dn | F.coalesce(F.array_contains("only_dn", F.col("dn")), F.lit(False)))
-    )
+        (met["metricId"] == index["kpi_id"])
+        & (met["managedObjectId"] == index["managedObject_id"])
+        & (met["granularityInterval"] == index["tag"])
+        & (spot == index["__spot"])
+    )
+    side = F.broadcast(index) if known.broadcastable else index
+    joined = met.join(side, on, "inner")
+    if known.kinds - {EVERYWHERE}:
+        # Rows that met: a fact counts once for a threshold, by the first of its groups that does, and an
+        # element list may be limited to groups as well.
+        first = F.element_at(_named(BY_GROUP, F.array_intersect("networkGroups", "groups")), 1)
+        unlimited = F.coalesce(F.size("groups") == 0, F.lit(True))
+        joined = joined.where(
+            F.when(F.col("__kind") == BY_GROUP, F.col("__spot") == first)
+            .when(F.col("__kind") == BY_DN, unlimited | any_shared(F.col("networkGroups"), F.col("groups")))
+            .otherwise(F.lit(True))
+        )
+    return joined.drop("__at", "__spot", "__kind")
 
 
 def _in_options(rows: DataFrame) -> DataFrame:
@@ -262,9 +328,7 @@ def temporal_scope(
     """
     slack = timedelta(0) if grain == "HOUR" else timedelta(hours=14)
     known = known or config_facts(cfg)
-    rows = scoped(
-        _facts(metrics, start - slack, end + slack), prepared(cfg), known.broadcastable
-    )
+    rows = scoped(_facts(metrics, start - slack, end + slack), prepared(cfg), known)
     offset = F.lit(0) if grain == "HOUR" else F.col("offset_minutes")
     shift = minutes_interval(offset)
     window_start, window_end = period_of(F.col(TIME) + shift, grain)
@@ -368,7 +432,7 @@ def spatial_scope(
     )
     facts = _facts(metrics, start - timedelta(minutes=known.furthest_minutes), end)
     return (
-        scoped(facts, ready, known.broadcastable)
+        scoped(facts, ready, known)
         .withColumn("window_start", floor_minutes(TIME, minutes))
         .withColumn("window_end", F.col("window_start") + minutes_interval(minutes))
         .where(F.col("window_start") + minutes_interval(F.col("furthest")) >= ts_lit(start))
@@ -385,7 +449,7 @@ def served_runs(
     results are repeated, so the facts behind a window are aggregated once.
     """
     backs = cfg.select(*THRESHOLD, F.explode(look_backs(minutes)).alias("__back"))
-    side = F.broadcast(backs) if known.broadcastable else backs
+    side = F.broadcast(backs) if known.backs_broadcastable else backs
     return (
         windows.join(side, list(THRESHOLD))
         .withColumn("run_start", F.col("window_start") + minutes_interval(F.col("__back")))

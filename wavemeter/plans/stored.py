@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from wavemeter.functions.timeutil import business_day
 from wavemeter.model import TIME
 from wavemeter.operators.busyhour import busy_hours
+from wavemeter.operators.quality import reconcile_content
 from wavemeter.operators.recompute import LATE_DAYS
+from wavemeter.operators.rollup import rollup_temporal
 from wavemeter.operators.stored import cascade, repair_stored, roll_stored, store_level
 from wavemeter.plans.busyhours import WEEK_RUN, config, hours_sql
-from wavemeter.plans.fixtures import Query, metrics
+from wavemeter.plans.fixtures import VALUED_SQL, Query, metrics
 from wavemeter.plans.rollups import group_sql, show_group, show_temporal, temporal_sql
 from wavemeter.session import work_folder
 from wavemeter.sources.landed import PARTITION
@@ -61,15 +63,50 @@ def stored_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_group(_read(spark, paths["hourly"]))
 
 
+# Days of which the level first missed a source, or held another value or element; equal counts on two of them.
+LOST_DAYS, CHANGED_DAY, SWAPPED_DAY = (9, 21), 13, 17
+
+
+def _damaged(facts: DataFrame) -> DataFrame:
+    day, source = F.dayofmonth(business_day(F.col(TIME))), F.col("managerFilename").isin(*LATE_SOURCES)
+    return facts.where(~(day.isin(*LOST_DAYS) & source)).withColumns(
+        {
+            "value": F.when((day == CHANGED_DAY) & source, F.col("value") + 1).otherwise(F.col("value")),
+            "dn": F.when((day == SWAPPED_DAY) & source, F.lit("dn-other")).otherwise(F.col("dn")),
+        }
+    )
+
+
 def repaired_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Levels that missed one source on two days, found out and rebuilt up to the day."""
+    """Levels built from damaged facts, found out and rebuilt up to the day."""
     facts, paths = metrics(spark, sf_dir), _paths(spark, "stored-repair")
-    lost = F.dayofmonth(business_day(F.col(TIME))).isin(9, 21) & F.col("managerFilename").isin(*LATE_SOURCES)
-    cascade(spark, facts.where(~lost), paths, _days(facts))
-    repair_stored(spark, facts, paths)
+    days = _days(facts)
+    cascade(spark, _damaged(facts), paths, days)
+    start = timedelta(hours=3)
+    repair_stored(spark, facts, paths, days[0] + start, days[-1] + DAY + start)
     return show_temporal(_read(spark, paths["daily"]))
 
 
+def reconciled_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets of a damaged level and what is wrong with each."""
+    facts = metrics(spark, sf_dir)
+    return reconcile_content(facts, rollup_temporal(_damaged(facts), "15m", sketch=False), "15m")
+
+
+_SOURCES = ", ".join(f"'{s}'" for s in LATE_SOURCES)
+RECONCILED_CONTENT_SQL = f"""WITH {VALUED_SQL}, r AS (
+    SELECT time_bucket(INTERVAL 15 MINUTE, __time) AS t, count(*) AS n,
+        bool_or(hit AND d IN {LOST_DAYS}) AS lost, count(*) FILTER (NOT (hit AND d IN {LOST_DAYS})) AS kept,
+        bool_or(hit AND d = {SWAPPED_DAY}) AS swapped,
+        bool_or(hit AND d = {CHANGED_DAY} AND NOT coalesce("isRate" AND denominator <> 0, false)) AS changed
+    FROM (SELECT *, managerFilename IN ({_SOURCES}) AS hit, day(__time - INTERVAL 3 HOUR) AS d FROM v
+        WHERE reportInterval = 300) GROUP BY 1
+)
+SELECT t AS __time, n AS raw_count, kept AS rolled_count,
+    CASE WHEN n <> kept THEN 'rows' WHEN swapped THEN 'identity' ELSE 'measures' END AS what
+FROM r WHERE n <> kept OR swapped OR changed"""
+
+
 def late_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run repeats its day and those late sources usually fill; other days stay as stored."""
     facts, paths = metrics(spark, sf_dir), _paths(spark, "stored-late")
@@ -114,6 +151,7 @@ QUERIES = {
     "rollup_stored_hourly": Query(stored("hourly"), temporal_sql(60, 300)),
     "rollup_stored_daily": Query(stored("daily"), temporal_sql(1440, 300)),
     "rollup_stored_group_hourly": Query(stored_group, group_sql(60, 300)),
+    "rollup_reconcile_content": Query(reconciled_content, RECONCILED_CONTENT_SQL),
     "rollup_repair_daily": Query(repaired_daily, temporal_sql(1440, 300)),
     "late_rerun_stored": Query(late_stored, LATE_STORED_SQL),
     "busy_hour_two_settings": Query(two_settings, TWO_SETTINGS_SQL),
