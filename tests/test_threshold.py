@@ -250,3 +250,38 @@ def test_many_thresholds_with_long_element_lists(spark, config, monkeypatch):
     plain = facts.where("metricId = 'view' AND granularityInterval = 'PT300S'").groupBy("dn", "managedObjectId").count().collect()
     want = sorted((t, r["dn"], r["count"]) for t, dn in listed for r in plain if r["dn"] == dn and r["managedObjectId"] == f"mo-{int(t[1:]) % 3}")
     assert counts(small) == by_shuffle == want and want
+
+
+def test_records_describe_their_facts_where_they_agree(spark, facts, config):
+    t = "2024-01-05 10:0{}:00"
+    rows = facts([(t.format(i), {"category": "c", "equipmentTypeId": f"et-{i}"}) for i in range(3)])
+    rows = rows.withColumn("domain", F.when(F.minute("__time") > 0, F.lit("RAN")))
+    cfg = config({"node_id": "a"})
+    result = evaluate_spatial(rows, cfg, 5, *DAY)
+    spans = record_range(spatial_scope(rows, cfg, 5, *DAY))
+    got = alarm_records(result, spans, cfg, 300, "PT300S", DAY[0]).first()
+    # The types differ, the domain is known of some facts only, and the facts have no technology.
+    assert (got["category"], got["equipmentTypeId"], got["domain"], got["technology"]) == ("c", None, "RAN", None)
+    assert got.asDict().keys() >= set(RECORD_FIELDS)
+
+
+def test_messages_of_bundles(spark, facts, config):
+    import json
+
+    from wavemeter.operators.threshold import bundle_messages
+
+    hours = ("10:00:00", "09:55:00", "09:50:00")
+    rows = facts([(f"2024-01-05 {t}", {"value": float(i)}) for i, t in enumerate(hours)])
+    cfg = config({"node_id": "a", "algorithm": HISTORY_ALGORITHM, "algorithmComparisonValue": 1.0, "intervalDays": 0, "times": 2})
+    result = evaluate_spatial(rows, cfg, 5, *DAY)
+    spans = record_range(spatial_scope(rows, cfg, 5, *DAY))
+    bundles = history_bundle(alarm_records(result, spans, cfg, 300, "PT300S", DAY[0]))
+    found = {r["key"]: [] for r in bundle_messages(bundles).collect()}
+    for r in bundle_messages(bundles).collect():
+        found[r["key"]].append(json.loads(r["value"]))
+    assert len(found) == 1 and next(iter(found)).endswith("+a")
+    for message in next(iter(found.values())):
+        assert set(message) == {"current", "values", "thresholdId"} and message["thresholdId"] == "a"
+        assert set(message["current"]) == set(RECORD_FIELDS)
+        assert all(int(k) == v["beginTime"] < message["current"]["beginTime"] for k, v in message["values"].items())
+    assert any(m["values"] for m in next(iter(found.values()))) and any(not m["values"] for m in next(iter(found.values())))

@@ -181,10 +181,18 @@ def config_facts(cfg: DataFrame, minutes: int | None = None) -> ConfigFacts:
     )
 
 
+# Fields of a published record that describe the facts behind it.
+DESCRIPTION = (
+    "networkType", "category", "subcategory", "familyId", "familyName", "metricType", "technology",
+    "domain", "equipmentTypeId", "equipmentType",
+)
+
+
 def _facts(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    described = [c for c in DESCRIPTION if c in metrics.columns]
     return metrics.where((F.col(TIME) >= ts_lit(start)) & (F.col(TIME) < ts_lit(end))).select(
         TIME, "metricId", "managedObjectId", "granularityInterval", *ELEMENT, "networkGroups",
-        "enrichment", "value", "numerator", "denominator",
+        "enrichment", "value", "numerator", "denominator", *described,
     )
 
 
@@ -490,11 +498,19 @@ def spatial_run_bounds(
 
 
 def record_range(scope: DataFrame, keys: tuple[str, ...] = (*THRESHOLD, "window_start")) -> DataFrame:
-    """First and last fact time and number of facts per threshold scope."""
+    """First and last fact time and number of facts per threshold scope, and what describes the facts.
+
+    A descriptive field has a value where all facts of the scope that have one agree.
+    """
+
+    def shared(name: str) -> Column:
+        return F.when(F.min(name) == F.max(name), F.max(name)).cast("string").alias(name)
+
     return scope.groupBy(*keys).agg(
         F.min(TIME).alias("min_record"),
         F.max(TIME).alias("max_record"),
         F.count(F.lit(1)).alias("records"),
+        *[shared(c) for c in DESCRIPTION if c in scope.columns],
     )
 
 
@@ -516,7 +532,7 @@ def alarm_records(
 ) -> DataFrame:
     """Published record of every result row, joined to its own threshold and record range.
 
-    A pure spatial record ends one second before its interval does, others at their last
+    Fields that describe the facts come from the range; those that the facts do not have are null. A pure spatial record ends one second before its interval does, others at their last
     fact. Sliced results carry a synthetic element name.
     """
     labels = cfg.select(
@@ -531,7 +547,8 @@ def alarm_records(
         F.col("id_spatialManagedObjectAggregation").alias("__topology"),
     )
     at = [c for c in (*THRESHOLD, "run_start", "window_start") if c in ranges.columns]
-    spans = ranges.select(*at, "min_record", "max_record")
+    described = [c for c in DESCRIPTION if c in ranges.columns]
+    spans = ranges.select(*at, "min_record", "max_record", *described)
     joined = result.join(broadcast_if_small(labels), list(THRESHOLD)).join(spans, at)
     begin = F.floor(epoch_millis(F.col("min_record")) / 1000)
     end = F.when(
@@ -581,7 +598,7 @@ def alarm_records(
         "load_status": F.col("load_status"),
         "thresholdId": F.col("node_id"),
         "aggregationLevel": F.col("level"),
-    }
+    } | {c: F.col(c) for c in described}
     extra = [c for c in ("run_start",) if c in joined.columns]
     return joined.select(
         *extra,
@@ -618,6 +635,18 @@ def history_bundle(records: DataFrame) -> DataFrame:
     return timed.select(*keys, "current", F.map_from_arrays("__times", first).alias("values"))
 
 
+def bundle_messages(bundles: DataFrame) -> DataFrame:
+    """Keyed messages of history bundles: ``<dn>+<thresholdId>`` and ``{current, values, thresholdId}``.
+
+    ``values`` holds the earlier records by their begin time; a bundle without any has an empty one.
+    """
+    body = F.struct("current", "values", "thresholdId")
+    return bundles.select(
+        F.concat_ws("+", F.coalesce(F.col("current")["dn"], F.lit("")), "thresholdId").alias("key"),
+        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
+    )
+
+
 def expand_supergroups(cfg: DataFrame, children: DataFrame) -> DataFrame:
     """Fill ``id_ngInclusion_SG`` with the alarm-enabled children of the included super-groups.
 

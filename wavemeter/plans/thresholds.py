@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemeter.operators.threshold import (
+    DESCRIPTION,
     HISTORY_ALGORITHM,
     alarm_records,
+    bundle_messages,
     evaluate_spatial,
     evaluate_temporal,
     evaluate_temporal_run,
@@ -274,20 +276,67 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_range(scope).select("node_id", "kpi_id", "window_start", "min_record", "max_record", "records")
 
 
+def _described(facts: DataFrame) -> DataFrame:
+    """Facts with the fields that describe them; element names as they are stored."""
+    return facts.withColumns(
+        {
+            "networkType": F.concat(F.lit("nt-"), F.substring("metricId", 1, 1)),
+            "subcategory": F.concat(F.lit("sub-"), "metricId"),
+            "familyId": F.concat(F.lit("fam-"), "metricId"),
+            "familyName": F.when(F.col("metricId") != "view", F.concat(F.lit("Family "), "metricId")),
+            "metricType": F.when(F.col("isRate"), F.lit("RATE")).otherwise(F.lit("COUNTER")),
+            "technology": F.concat(F.lit("tech-"), "vendorId"),
+            "domain": F.lit("RAN"),
+            "equipmentType": F.concat(F.lit("Type "), "equipmentTypeId"),
+        }
+    )
+
+
+_DESCRIBED_SQL = """'nt-' || left(any_value(kpi_id), 1) AS "networkType", {category} AS category,
+    'sub-' || any_value(kpi_id) AS subcategory, 'fam-' || any_value(kpi_id) AS "familyId",
+    CASE WHEN any_value(kpi_id) <> 'view' THEN 'Family ' || any_value(kpi_id) END AS "familyName",
+    CASE WHEN min("isRate") = max("isRate") THEN CASE WHEN max("isRate") THEN 'RATE' ELSE 'COUNTER' END END AS "metricType",
+    'tech-' || {vendorId} AS technology, 'RAN' AS domain, {equipmentTypeId} AS "equipmentTypeId",
+    'Type ' || {equipmentTypeId} AS "equipmentType" """.format(
+    **{c: f'CASE WHEN min("{c}") = max("{c}") THEN max("{c}") END' for c in ("category", "vendorId", "equipmentTypeId")}
+)
+DESCRIBED = ", ".join(f'"{c}"' for c in DESCRIPTION)
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = config(spark, sf_dir, "NONE", "BY_GROUP", "PT5M")
-    facts = metrics(spark, sf_dir)
+    facts = _described(metrics(spark, sf_dir))
     result = evaluate_spatial(facts, cfg, 5, HISTORY_FROM, LAST)
     spans = record_range(spatial_scope(facts, cfg, 5, HISTORY_FROM, LAST))
     return alarm_records(result, spans, cfg, 300, "PT300S", HISTORY_FROM)
 
 
+SHOWN = (
+    "metricId", "name", "dn", "additionalDn", "cellName", "beginTime", "endTime", "reportInterval",
+    "granularityInterval", "managedObject", "isRate", "aggregation", "load_status", "thresholdId",
+    "aggregationLevel",
+)
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select(
-        "run_start", "metricId", "name", "dn", "additionalDn", "cellName", "beginTime", "endTime",
-        "reportInterval", "granularityInterval", r6("value"), "managedObject",
-        F.array_join("networkGroups", ",").alias("networkGroups"), "isRate", "aggregation",
-        "load_status", "thresholdId", "aggregationLevel",
+        "run_start", *SHOWN, *DESCRIPTION, r6("value"),
+        F.array_join("networkGroups", ",").alias("networkGroups"),
+    )
+
+
+def temporal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily records of single elements and of slices; stored names carry commas and quotes."""
+    cfg = config(spark, sf_dir, "DAY")
+    facts = _described(metrics(spark, sf_dir)).withColumn("locationId", F.concat(F.lit("l$$"), "locationId"))
+    facts = facts.withColumn("additionalDn", F.concat(F.lit("a-"), "dn"))
+    named = facts.withColumn("dn", F.concat(F.lit('"n$$'), "dn", F.lit('"')))
+    # Limits of the config name elements as they are stored.
+    cfg = cfg.withColumn("equipmentInclusion", F.transform("equipmentInclusion", lambda d: F.concat(F.lit('"n$$'), d, F.lit('"'))))
+    result = evaluate_temporal(named, cfg, "DAY", FIRST, LAST)
+    spans = record_range(temporal_scope(named, cfg, "DAY", FIRST, LAST))
+    return alarm_records(result, spans, cfg, 86400, "P1D", HISTORY_FROM).select(
+        *SHOWN, *DESCRIPTION, r6("value"), "vendorId", "equipmentId", "locationId", "elementType"
     )
 
 
@@ -302,6 +351,20 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bundle_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of bundles, read back from their JSON."""
+    out = bundle_messages(history_bundle(_records(spark, sf_dir)))
+    value = F.col("value")
+    return out.select(
+        "key",
+        F.get_json_object(value, "$.thresholdId").alias("thresholdId"),
+        F.get_json_object(value, "$.current.beginTime").cast("long").alias("current_begin"),
+        F.get_json_object(value, "$.current.domain").alias("domain"),
+        F.array_join(F.array_sort(F.json_object_keys(F.get_json_object(value, "$.values"))), ",").alias("history"),
+        F.size(F.json_object_keys(F.get_json_object(value, "$.current"))).alias("fields"),
+    )
+
+
 def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = history_bundle(_records(spark, sf_dir))
     current = F.col("current")
@@ -319,9 +382,10 @@ def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HISTORY_FROM = FIRST
 _RECORDS_SQL = f"""{spatial_result_sql('BY_GROUP', 5, 'PT300S', HISTORY_FROM, LAST)}, span AS (
-    SELECT node_id, kpi_id, run_start, ws, min(__time) AS lo FROM k GROUP BY ALL
+    SELECT node_id, kpi_id, run_start, ws, min(__time) AS lo, {_DESCRIBED_SQL}
+    FROM k GROUP BY node_id, kpi_id, run_start, ws
 ), rec AS (
-    SELECT r.*, epoch_ms(date_trunc('second', lo)) AS "beginTime", c.kpi_name,
+    SELECT r.*, {DESCRIBED}, epoch_ms(date_trunc('second', lo)) AS "beginTime", c.kpi_name,
         c."managedObject_name", c.groups,
         r.kpi_id || '-' || c.kpi_name || '-BY_GROUP-' || slice AS rdn
     FROM res r JOIN span USING (node_id, kpi_id, run_start, ws) JOIN g c USING (node_id, kpi_id)
@@ -332,7 +396,36 @@ SELECT run_start, kpi_id AS "metricId", kpi_name AS name, rdn AS dn, 'BY_GROUP'
     'PT300S' AS "granularityInterval", round(metric0, 6) AS value,
     "managedObject_name" AS "managedObject", array_to_string(groups, ',') AS "networkGroups",
     rate AS "isRate", 'spatial' AS aggregation, 'Completed' AS load_status,
-    node_id AS "thresholdId", 'BY_GROUP' AS "aggregationLevel" FROM rec"""
+    node_id AS "thresholdId", 'BY_GROUP' AS "aggregationLevel", {DESCRIBED} FROM rec"""
+_DAY = _window_sql("DAY")
+TEMPORAL_RECORDS_SQL = f"""WITH res AS (SELECT * FROM ({temporal_sql("DAY", FIRST, LAST)})), described AS (
+    SELECT node_id, kpi_id, {_DAY[1]} AS window_start, min(__time) AS lo, max(__time) AS hi, {_DESCRIBED_SQL}
+    FROM ({_scope_sql(None, None, options=False)} SELECT * FROM j)
+    WHERE {_DAY[0]} >= TIMESTAMP '{FIRST}' AND {_DAY[0]} < TIMESTAMP '{LAST}'
+    GROUP BY node_id, kpi_id, {_DAY[1]}
+), labels AS ({_scope_sql(None, None).split(", j AS (")[0]} SELECT * FROM g), rec AS (
+    SELECT r.*, lo, hi, {DESCRIBED}, c.kpi_name, c."managedObject_name", c.rate, c.loc,
+        r.aggregation <> 'temporal' AS sliced
+    FROM res r JOIN described d USING (node_id, kpi_id, window_start) JOIN labels c USING (node_id, kpi_id)
+)
+SELECT kpi_id AS "metricId", kpi_name AS name,
+    CASE WHEN sliced THEN kpi_id || '-' || kpi_name || '-' || level || coalesce('-' || slice, '') ELSE 'n,' || dn END AS dn,
+    CASE WHEN sliced THEN level ELSE 'a-' || dn END AS "additionalDn",
+    CASE level WHEN 'BY_LOCATION' THEN loc WHEN 'BY_TOPOLOGY' THEN 'mo-0' ELSE '' END AS "cellName",
+    epoch_ms(date_trunc('second', lo)) AS "beginTime", epoch_ms(date_trunc('second', hi)) AS "endTime",
+    86400 AS "reportInterval", 'P1D' AS "granularityInterval", "managedObject_name" AS "managedObject", rate AS "isRate",
+    aggregation, 'Completed' AS load_status, node_id AS "thresholdId", level AS "aggregationLevel", {DESCRIBED},
+    metric0 AS value, CASE WHEN sliced THEN '' ELSE "vendorId" END AS "vendorId",
+    CASE WHEN sliced THEN '' ELSE "equipmentId" END AS "equipmentId",
+    CASE WHEN sliced THEN '' ELSE 'l$$' || "locationId" END AS "locationId",
+    CASE WHEN sliced THEN '' ELSE "elementType" END AS "elementType" FROM rec"""
+BUNDLE_MESSAGES_SQL = f"""{_RECORDS_SQL}, n AS (
+    SELECT *, max("beginTime") OVER (PARTITION BY node_id, kpi_id, rdn, run_start) AS newest FROM rec
+)
+SELECT any_value(rdn) || '+' || node_id AS key, node_id AS "thresholdId", newest AS current_begin, 'RAN' AS domain,
+    coalesce(string_agg(DISTINCT CAST("beginTime" AS VARCHAR), ',' ORDER BY CAST("beginTime" AS VARCHAR))
+        FILTER ("beginTime" < newest), '') AS history, 41 AS fields
+FROM n GROUP BY node_id, kpi_id, rdn, run_start, newest"""
 MESSAGES_SQL = f"""{_RECORDS_SQL}
 SELECT rdn || '+' || node_id AS key, "beginTime", round(metric0, 6) AS value, 41 AS fields FROM rec"""
 BUNDLE_SQL = f"""{_RECORDS_SQL}, n AS (
@@ -386,5 +479,7 @@ QUERIES = {
     "threshold_record_range": Query(ranges, RANGES_SQL),
     "threshold_alarm_records": Query(records, RECORDS_SQL),
     "threshold_alarm_messages": Query(messages, MESSAGES_SQL),
+    "threshold_temporal_records": Query(temporal_records, TEMPORAL_RECORDS_SQL),
     "threshold_history_bundle": Query(bundle, BUNDLE_SQL),
+    "threshold_bundle_messages": Query(bundle_json, BUNDLE_MESSAGES_SQL),
 }
