@@ -16,8 +16,10 @@ from wavemeter.llm.expressions import ship_code
 
 # Texts of so many bytes are taken together, one longer text alone.
 CHUNK_BYTES = 1_000_000
-# Encoded words a worker remembers before it forgets those seen once; a matter of speed alone.
+# Encoded words a worker remembers before it forgets rare ones (some 150 bytes each); a matter of speed alone.
 KNOWN_WORDS = 150_000
+# The same for the query alone, whose workers hold nothing else.
+QUERY_WORDS = 600_000
 # Words that one query encodes; bounds the rows of its rounds.
 WORDS_AT_ONCE = 25_000
 # Longer words go one by one through the query that merges many places in a round.
@@ -113,14 +115,15 @@ class Coder:
     _made: dict[str, Coder] = {}
 
     @classmethod
-    def of(cls, content: bytes, pattern: str) -> Coder:
+    def of(cls, content: bytes, pattern: str, most: int = KNOWN_WORDS) -> Coder:
         key = hashlib.sha256(content + pattern.encode()).hexdigest()
         if key not in cls._made:
             cls._made.clear()
             cls._made[key] = cls(content, pattern)
+        cls._made[key].most = most
         return cls._made[key]
 
-    def __init__(self, content: bytes, pattern: str):
+    def __init__(self, content: bytes, pattern: str, most: int = KNOWN_WORDS):
         import duckdb
         import regex
 
@@ -128,6 +131,7 @@ class Coder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
+        self.most = most
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         self.tables: set[str] = set()
         self.known = _Numbered()
@@ -160,16 +164,16 @@ class Coder:
         self._table(name, lft=lft, rgt=rgt, merged=merged, calm=~np.isin(merged, restless))
 
     def _forget(self) -> None:
-        """Keep the words seen more than once since the last time, if that halves them."""
-        kept = np.flatnonzero(self.seen > 1)
-        if len(kept) > KNOWN_WORDS // 2:
-            kept = kept[:0]
+        """Keep the words seen most often, half of what is remembered at most; ties go to earlier ones."""
+        often = np.argsort(-self.seen, kind="stable")[: self.most // 2]
+        kept = np.sort(often[self.seen[often] > 1])
         words = list(self.known)
         ends = np.cumsum(self.lengths)
         self.ids = np.concatenate([np.empty(0, np.int32), *(self.ids[ends[i] - self.lengths[i] : ends[i]] for i in kept)])
         self.lengths = self.lengths[kept]
         self.known = _Numbered((words[i], n) for n, i in enumerate(kept.tolist()))
-        self.seen = np.zeros(len(kept), np.int64)
+        # Halved, so that what was frequent long ago gives way in time.
+        self.seen = self.seen[kept] // 2
 
     def _symbols(self, words: list[bytes]) -> None:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -230,7 +234,7 @@ class Coder:
         self.seen = np.concatenate([self.seen, np.zeros(len(raw), np.int64)])
 
     def encode(self, texts: list[str]) -> pa.ListArray:
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > self.most:
             self._forget()
         before, number, counts, seen = len(self.known), self.known.__getitem__, [], []
         for text in texts:
@@ -286,14 +290,17 @@ def _sizes(column: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(kind(column), 0), np.int64)
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "ids", known_words: int = KNOWN_WORDS
+) -> DataFrame:
     """Replace the text of every row by its token ids ``into``; other columns pass through.
 
     Every match of ``pattern`` is encoded on its own: a match that is a token is that token, any
     other has its leftmost pair of least rank contracted until none is left. There are no special
     tokens, so their strings are text. Null and empty texts have no ids, repeated rows the same
     ones, an empty table stays empty. The rank file is read by the driver and sent along (it does
-    not grow with the data); a column named ``into`` is replaced.
+    not grow with the data); a column named ``into`` is replaced. A worker remembers ``known_words``
+    at most; the ids do not depend on it.
     """
     ship_code(docs.sparkSession)
     content = read_ranks(ranks)
@@ -305,7 +312,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", into:
             texts = batch.column(batch.num_columns - 1)
             for start, n in _chunks(_sizes(texts), CHUNK_BYTES):
                 part = batch.slice(start, n)
-                ids = Coder.of(content, pattern).encode([t or "" for t in texts.slice(start, n).to_pylist()])
+                ids = Coder.of(content, pattern, known_words).encode([t or "" for t in texts.slice(start, n).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*rest, into])
 
     return docs.select(*rest, docs[text].cast("string").alias("_text")).mapInArrow(run, schema)
@@ -333,9 +340,9 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids", into:
     return encoded.select(*rest, whole.alias("_ids")).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def digests(docs: DataFrame, ranks: str, pattern: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, and decoded_sha256 of the bytes read back from the ids."""
-    encoded = encode(docs.select("doc_id", "text"), ranks, pattern).select(
+    encoded = encode(docs.select("doc_id", "text"), ranks, pattern, known_words=known_words).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -350,4 +357,5 @@ def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digests(docs, ranks, public_tokenizers.PATTERN, known_words=QUERY_WORDS)
