@@ -34,11 +34,14 @@ def test_words_as_the_library(library):
     assert coder.decode(ids).to_pylist() == [t.encode() for t in texts]
 
 
-def test_known_words_may_be_forgotten(library, monkeypatch):
-    monkeypatch.setattr("wavemeter.llm.bpe.KNOWN_WORDS", 5)
-    coder = Coder(read_ranks(PATH), PATTERN)
+def test_rare_words_are_forgotten(library):
+    coder = Coder(read_ranks(PATH), PATTERN, most=6)
     for text in nasty(20):
-        assert coder.encode([text]).to_pylist() == [library.encode_ordinary(text)]
+        assert coder.encode([text + " frequentword frequentword"]).to_pylist() == [
+            library.encode_ordinary(text + " frequentword frequentword")
+        ]
+    coder._forget()
+    assert " frequentword" in coder.known and len(coder.known) <= 3
 
 
 def test_frames(spark, library):
@@ -52,6 +55,10 @@ def test_frames(spark, library):
     for i, text in enumerate(texts):
         assert rows[i]["ids"] == library.encode_ordinary(text or "") and rows[i]["doc"] == "x"
         assert bytes(back[i]) == (text or "").encode()
+    both = encode(docs, PATH, PATTERN, back="kept").collect()
+    assert {r["doc_id"]: (r["ids"], bytes(r["kept"])) for r in both} == {
+        i: (rows[i]["ids"], (t or "").encode()) for i, t in enumerate(texts)
+    }
     assert encode(docs.limit(0), PATH, PATTERN).count() == 0
     assert decode(coded.limit(0), PATH, PATTERN).count() == 0
 

@@ -291,7 +291,8 @@ def _sizes(column: pa.Array) -> np.ndarray:
 
 
 def encode(
-    docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "ids", known_words: int = KNOWN_WORDS
+    docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "ids",
+    known_words: int = KNOWN_WORDS, back: str | None = None,
 ) -> DataFrame:
     """Replace the text of every row by its token ids ``into``; other columns pass through.
 
@@ -300,20 +301,25 @@ def encode(
     tokens, so their strings are text. Null and empty texts have no ids, repeated rows the same
     ones, an empty table stays empty. The rank file is read by the driver and sent along (it does
     not grow with the data); a column named ``into`` is replaced. A worker remembers ``known_words``
-    at most; the ids do not depend on it.
+    at most; the ids do not depend on it. With ``back`` a column of that name gets the bytes that
+    :func:`decode` would give for the ids, read back by the same worker.
     """
     ship_code(docs.sparkSession)
     content = read_ranks(ranks)
-    rest = [c for c in docs.columns if c not in (text, into)]
+    rest = [c for c in docs.columns if c not in (text, into, back)]
     schema = StructType([*(docs.schema[c] for c in rest), StructField(into, ArrayType(IntegerType()))])
+    if back:
+        schema = schema.add(back, BinaryType())
 
     def run(batches):
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             for start, n in _chunks(_sizes(texts), CHUNK_BYTES):
                 part = batch.slice(start, n)
-                ids = Coder.of(content, pattern, known_words).encode([t or "" for t in texts.slice(start, n).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*rest, into])
+                coder = Coder.of(content, pattern, known_words)
+                ids = coder.encode([t or "" for t in texts.slice(start, n).to_pylist()])
+                found = [ids, coder.decode(ids)] if back else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], names=schema.names)
 
     return docs.select(*rest, docs[text].cast("string").alias("_text")).mapInArrow(run, schema)
 
@@ -342,14 +348,12 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids", into:
 
 def digests(docs: DataFrame, ranks: str, pattern: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, and decoded_sha256 of the bytes read back from the ids."""
-    encoded = encode(docs.select("doc_id", "text"), ranks, pattern, known_words=known_words).select(
+    both = encode(docs.select("doc_id", "text"), ranks, pattern, known_words=known_words, back="decoded")
+    return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return decode(encoded, ranks, pattern).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
