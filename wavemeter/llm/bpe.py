@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from wavemeter.llm.expressions import ship_code
+from wavemeter.llm.workers import hold
 
 # Texts of so many bytes are taken together, one longer text alone.
 CHUNK_BYTES = 1_000_000
@@ -117,12 +118,19 @@ class Coder:
     @classmethod
     def of(cls, content: bytes, pattern: str, most: int = KNOWN_WORDS) -> Coder:
         key = hashlib.sha256(content + pattern.encode()).hexdigest()
+        hold("coder", cls._drop)
         if key not in cls._made:
-            cls._made.clear()
+            cls._drop()
             cls._made[key] = cls(content, pattern)
         cls._made[key].most = most
         return cls._made[key]
 
+    @classmethod
+    def _drop(cls) -> None:
+        for coder in cls._made.values():
+            coder.db.close()
+        cls._made.clear()
+
     def __init__(self, content: bytes, pattern: str, most: int = KNOWN_WORDS):
         import duckdb
         import regex

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wavemeter.llm.components import components
 from wavemeter.llm.expressions import ship_code, short_list, stored
 from wavemeter.llm.shingles import in_groups, mix, shingle_sets
+from wavemeter.llm.workers import hold
 
 # Sets of one signature that are compared with as many others in one run.
 BLOCK = 2048
@@ -233,6 +234,7 @@ def _near(pairs: DataFrame, bits: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) whose sizes and bitmaps leave it open that they link."""
 
     def run(batches):
+        hold("bitmaps", lambda: None)
         for batch in batches:
             rows = zip(*(batch[c].to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")), strict=True)
             keep = [_differing(x, y) <= join.differ(n + m) for x, y, n, m in rows]
@@ -484,6 +486,7 @@ def _block_pairs(join: Join):
         return np.minimum(a, b), np.maximum(a, b)
 
     def run(batches):
+        hold("bitmaps", lambda: None)
         rest = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:

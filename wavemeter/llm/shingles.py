@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import xxhash
 
+from wavemeter.llm.workers import hold
+
 SIZE = 5
 # Word hashes a worker remembers before it starts afresh; a matter of speed alone.
 KNOWN_WORDS = 250_000
@@ -38,6 +40,7 @@ _PLACES = mix(np.arange(1, SIZE + 1, dtype=np.uint64)) | np.uint64(1)
 
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words of a text, A-Z in lower case. Bytes split at ASCII white space alone."""
+    hold("word hashes", _known.clear)
     words = (text or "").encode().lower().split()
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
