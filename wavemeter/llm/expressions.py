@@ -68,11 +68,25 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts the lineage, survives executors."""
+# Spark's own setting to remove the shuffle files of a query when it ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
+    """Write a frame to the shared folder and read it back: cuts the lineage, survives executors.
+
+    With ``release`` the shuffles behind it are removed once it is written, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(RELEASE) if release else None
+    try:
+        if release:
+            spark.conf.set(RELEASE, "true")
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
