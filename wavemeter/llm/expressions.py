@@ -79,7 +79,7 @@ def stored(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-    before = spark.conf.get(RELEASE) if release else None
+    before = spark.conf.get(RELEASE, "false")
     try:
         if release:
             spark.conf.set(RELEASE, "true")
