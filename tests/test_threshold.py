@@ -10,6 +10,7 @@ from wavemeter.operators.threshold import (
     alarm_records,
     evaluate_spatial,
     evaluate_temporal,
+    expand_supergroups,
     history_bundle,
     look_backs,
     record_messages,
@@ -285,3 +286,33 @@ def test_messages_of_bundles(spark, facts, config):
         assert set(message["current"]) == set(RECORD_FIELDS)
         assert all(int(k) == v["beginTime"] < message["current"]["beginTime"] for k, v in message["values"].items())
     assert any(m["values"] for m in next(iter(found.values()))) and any(not m["values"] for m in next(iter(found.values())))
+
+
+def test_children_are_listed_once_for_every_set_of_supergroups(spark, config):
+    both, mixed = ["SUPERGROUP", "SUPERGROUP"], ["SUPERGROUP", "GROUP"]
+    cfg = config(
+        *({"node_id": f"t{i}", "id_ngInclusion": [["s1", "s2"], ["s2", "s1"]][i % 2], "typeAssociation": both} for i in range(40)),
+        {"node_id": "mixed", "id_ngInclusion": ["s1", "s2"], "typeAssociation": mixed},
+        {"node_id": "none", "id_ngInclusion": ["s3"], "typeAssociation": ["SUPERGROUP"]},
+        # Rows of one threshold and KPI share what any of them includes, also the row with a plain group.
+        {"node_id": "split", "id_ngInclusion": ["s1"], "typeAssociation": ["SUPERGROUP"]},
+        {"node_id": "split", "kpi_name": "L", "id_ngInclusion": ["s2", None], "typeAssociation": both},
+        {"node_id": "split", "kpi_name": "M", "id_ngInclusion": ["g"], "typeAssociation": ["GROUP"]},
+        {"node_id": None, "id_ngInclusion": ["s1"], "typeAssociation": ["SUPERGROUP"]},
+    )
+    rows = [("b", "s1", ["ALARMS"]), ("a", "s1", ["REPORTS", "ALARMS"]), ("a", "s2", ["ALARMS"]), ("c", "s2", ["ALARMS"]),
+            ("c", "s2", ["ALARMS"]), ("d", "s2", ["REPORTS"]), (None, "s2", ["ALARMS"]), ("e", None, ["ALARMS"])]
+    children = spark.createDataFrame(rows, "id string, parentId string, targetGroups array<string>")
+    out = expand_supergroups(cfg, children)
+    assert sorted(out.columns) == sorted(cfg.columns)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["node_id"], []).append(r["id_ngInclusion_SG"])
+    assert got.pop("split") == [["a", "b", "c"]] * 3
+    assert [got.pop(k) for k in ("mixed", "none", None)] == [[[]]] * 3
+    assert len(got) == 40 and all(v == [["a", "b", "c"]] for v in got.values())
+    # No step has a row for every threshold and child.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set(__child" in plan
+    keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "collect_set(__child" in line]
+    assert all("__parent" in k and "node_id" not in k for k in keys)

@@ -659,17 +659,28 @@ def expand_supergroups(cfg: DataFrame, children: DataFrame) -> DataFrame:
     alarmed = children.where(F.array_contains("targetGroups", "ALARMS")).select(
         F.col("id").alias("__child"), F.col("parentId").alias("__parent")
     )
-    found = (
+    kids = alarmed.groupBy("__parent").agg(F.collect_set("__child").alias("__kids"))
+    included = (
         cfg.where(all_super)
         .select(*THRESHOLD, F.explode("id_ngInclusion").alias("__parent"))
-        .join(alarmed, "__parent")
         .groupBy(*THRESHOLD)
-        .agg(F.sort_array(F.collect_set("__child")).alias("__children"))
+        .agg(F.sort_array(F.collect_set("__parent")).alias("__parents"))
     )
+    # Children are listed once for every set of super-groups; thresholds of equal sets share the list.
+    found = (
+        included.select("__parents")
+        .distinct()
+        .select("__parents", F.explode("__parents").alias("__parent"))
+        .join(kids, "__parent")
+        .groupBy("__parents")
+        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("__kids")))).alias("__children"))
+    )
+    # Lists come in last, so no later step has to move them.
     return (
-        cfg.join(found, list(THRESHOLD), "left")
+        cfg.join(included, list(THRESHOLD), "left")
+        .join(found, "__parents", "left")
         .withColumn(
             "id_ngInclusion_SG", F.coalesce("__children", F.array().cast("array<string>"))
         )
-        .drop("__children")
+        .drop("__parents", "__children")
     )
