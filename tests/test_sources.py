@@ -137,3 +137,20 @@ def test_default_start():
     now = datetime(2024, 1, 5)
     assert default_start(now, None) == datetime(2024, 1, 4)
     assert default_start(now, datetime(2024, 1, 1)) == datetime(2024, 1, 1)
+
+
+def test_documents_of_one_file_are_read_by_many_tasks(spark):
+    from wavemeter.plans.fixtures import ROWS_PER_TASK
+    from wavemeter.plans.landing import threshold_documents
+
+    folder, rows = work_folder(spark, "parts"), ROWS_PER_TASK * 2 + 5
+    parts = spark.range(rows).selectExpr("if(id % 9 = 0, null, id div 2) AS p_partkey", "'p' AS p_name")
+    parts.coalesce(1).write.parquet(f"{folder}/part.parquet")
+    docs = threshold_documents(spark, folder)
+    assert docs.rdd.getNumPartitions() == 3
+    assert docs.groupBy("doc_order").count().exceptAll(
+        parts.groupBy("p_partkey").count()
+    ).count() == 0 and docs.count() == rows
+    # The largest task holds no more than its share of the keyed rows.
+    held = docs.where("doc_order IS NOT NULL").rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert max(held) < 1.1 * ROWS_PER_TASK

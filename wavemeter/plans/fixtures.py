@@ -34,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Small rows that become large documents: a file of them is one split, however many there are.
+ROWS_PER_TASK = 20_000
+
+
+def spread(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows dealt by their values over tasks of about ``per_task`` rows each."""
+    return rows.repartition(max(1, -(-rows.count() // per_task)), *rows.columns)
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched metric facts."""
     return metric_view(table(spark, sf_dir, "events"))

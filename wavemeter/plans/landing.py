@@ -19,7 +19,7 @@ from wavemeter.functions.scalars import (
 )
 from wavemeter.model import ELEMENT_MESSAGE
 from wavemeter.operators.threshold import expand_supergroups
-from wavemeter.plans.fixtures import Query, pick, table
+from wavemeter.plans.fixtures import Query, pick, spread, table
 from wavemeter.sources.configs import (
     flatten_busy_hours,
     flatten_thresholds,
@@ -85,7 +85,7 @@ def _node(id_: str) -> str:
 def threshold_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per part with two thresholds; the second id repeats across documents."""
     own, shared = _node(f"concat('th-', {K})"), _node(f"concat('shared-', {K} % 40)")
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part").select(K, "p_name")).selectExpr(
         f"{K} AS doc_order",
         f"""CASE WHEN {K} % 50 = 7 THEN '{{"thresholds": broken' ELSE to_json(named_struct(
             'thresholds', named_struct('edges', array({own}, {shared})))) END AS value""",
