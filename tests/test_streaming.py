@@ -14,6 +14,7 @@ from wavemeter.streaming.elements import track_elements
 from wavemeter.streaming.jobs import (
     closed,
     drain,
+    drain_batches,
     follow,
     read_files,
     redirect,
@@ -161,6 +162,52 @@ def test_only_changed_elements_reach_the_table(spark, monkeypatch):
     assert [w for w in written if w] == [[("e3", True)]]
 
 
+def test_elements_of_a_slot_end_each_at_its_own_time(spark):
+    from wavemeter.streaming.elements import element_changes, keyed_state
+
+    source, checkpoint, got = work_folder(spark, "in"), work_folder(spark, "ck"), []
+
+    def run(*rows):
+        land(messages(spark, rows), source)
+        stream = read_files(spark, source, ELEMENT_MESSAGE, options=ONE_FILE)
+        got.clear()
+        with keyed_state(spark):
+            drain_batches(
+                element_changes(stream, slots=1),
+                lambda batch, n: got.extend((r["dn"], r["sourceSystem"], r["ativo"]) for r in batch.collect()),
+                checkpoint, "update",
+            )
+        return sorted(got)
+
+    first = run((at(3), element("c", "1")), (at(0), element("a", "0")), (at(1), element("a", "1")), (at(2), element("b", "1")))
+    assert first == [("a", "1", True), ("b", "1", True), ("c", "1", True)]
+    # Neither older messages nor elements that stay are passed on again.
+    assert run((at(1), element("c", "0"))) == []
+    assert run((at(25, 1), element("d", "1"))) == [("a", "1", False), ("d", "1", True)]
+    # The oldest of the slot gets a new message before its end; the next oldest ends at its own time.
+    assert run((at(25, 2), element("b", "2"))) == [("b", "2", True)]
+    assert run((at(27), element("a", "2"))) == [("a", "2", True)]
+    assert run((at(27, 1), element("a", "3"))) == [("a", "3", True), ("c", "1", False)]
+    assert run((at(80), element("z", "1"))) == [("a", "3", False), ("b", "2", False), ("d", "1", False), ("z", "1", True)]
+
+
+def test_a_task_passes_on_one_message_of_an_element():
+    import pyarrow as pa
+
+    from wavemeter.streaming.elements import _newest_of_batch
+
+    def batch(start):
+        ids = range(start, start + 50)
+        return pa.RecordBatch.from_pydict({"k": [None if i % 5 == 4 else i % 5 for i in ids], "t": [None if i % 7 == 0 else i for i in ids]})
+
+    batches = [batch(n) for n in range(0, 500, 50)]
+    rows = [r for b in _newest_of_batch(("k",), ("t",))(iter(batches)) for r in b.to_pylist()]
+    want = {k: max(r["t"] for b in batches for r in b.to_pylist() if r["k"] == k and r["t"] is not None) for k in (0, 1, 2, 3, None)}
+    assert len(rows) == 5 and {r["k"]: r["t"] for r in rows} == want
+    assert sum(b.num_rows for b in _newest_of_batch(("k",), ("t",), 100)(iter(batches))) == 25
+    assert list(_newest_of_batch(("k",), ("t",))(iter([]))) == []
+
+
 def test_a_batch_that_fails_in_the_sink_comes_again(spark, monkeypatch):
     from wavemeter.streaming import elements
 
