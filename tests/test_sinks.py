@@ -11,6 +11,7 @@ from wavemeter.sinks.tables import (
     read_table,
     replace_buckets,
     replace_interval,
+    replace_partitions,
     upsert_table,
 )
 
@@ -197,3 +198,27 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.work_folder(Cluster(), "x")
+
+
+def test_a_replacement_builds_its_rows_once_and_splits_a_hot_partition(spark):
+    path, built = work_folder(spark, "built-once"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 10 = 0 THEN concat('q', id % 50) ELSE 'hot' END AS p", "sha2(cast(id AS string), 256) AS k")
+    rows = rows.repartition(8, "k")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        replace_partitions(spark, rows.mapInArrow(counted, rows.schema), path, "p", ("k",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert built.value == 60_000
+    files = spark.read.parquet(path).select("p", F.input_file_name().alias("f")).distinct()
+    counts = {r["p"]: r["count"] for r in files.groupBy("p").count().collect()}
+    assert counts.pop("hot") > 1 and len(counts) == 5
+    assert spark.read.parquet(path).select("p", "k").exceptAll(rows).count() == 0
+    assert spark.read.parquet(path).count() == 60_000

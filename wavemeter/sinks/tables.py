@@ -47,9 +47,10 @@ def replace_partitions(
     finish_replacement(spark, path, column)
     run = uuid.uuid4().hex
     staged = f"{path}/{STAGED}{run}"
-    # Range partitioning keeps a hot day or group in several files and every file sorted.
+    # Rebalancing splits a hot day over several files and needs no look at the rows beforehand, which
+    # would build them twice; every file is sorted.
     (
-        df.repartitionByRange(F.col(column), *cluster)
+        df.hint("rebalance", F.col(column))
         .sortWithinPartitions(column, *cluster)
         .write.option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(column)
